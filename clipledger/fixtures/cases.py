@@ -135,7 +135,7 @@ CASES: dict[str, Case] = {
         _json('{"user":{"unique_id":"a{k}","uid":"x"}}', '{"user":{"unique_id":"","uniqueId":"x"},"uid":"b{k}"}',
               '{"user":{},"uid":{k}1}', '{"user":"text"}', '{"user":{"uid":{k}1},"uid":"x"}',
               '{"user":null,"uid":""}'),
-        S.comment_author,
+        lambda v: S.comment_author(V.read(v, S.AUTHOR_SHAPE)),
         choose(K, f"'a' || {K}", f"'b' || {K}", f"{K} || '1'", "NULL", f"{K} || '1'", "NULL"),
     ),
     "overlay_text": Case(
@@ -150,7 +150,7 @@ CASES: dict[str, Case] = {
             "array(named_struct('desc', concat(' <', text, '> ')), named_struct('desc', ' '))))",
             "to_json(named_struct('stickersOnItem', array(named_struct('stickerText', text))))",
         ),
-        S.overlay_text,
+        lambda v: S.overlay_text(V.read(v, S.OVERLAY_SHAPE)),
         choose("doc_id", "lang || chr(10) || '<' || text || '>'", "'<' || text || '>'", "NULL"),
     ),
     "hashtags": Case(
@@ -160,17 +160,20 @@ CASES: dict[str, Case] = {
         f"named_struct('hashtagName', concat('x', {K} % 2))), "
         f"'text_extra', if({K} % 7 = 0, null, array(named_struct('hashtagName', '', 'hashtag_name', 'z'))), "
         f"'content_desc_extra', array(named_struct('hashtag_name', concat('x', {K} % 5)))))",
-        lambda v: F.array_join(S.hashtags(v), ","),
+        lambda v: F.array_join(S.hashtags(V.read(v, S.HASHTAG_SHAPE)), ","),
         f"'x' || ({K} % 3) || CASE WHEN {K} % 2 <> {K} % 3 THEN ',x' || ({K} % 2) ELSE '' END "
         f"|| CASE WHEN {K} % 5 <> {K} % 3 AND {K} % 5 <> {K} % 2 THEN ',x' || ({K} % 5) ELSE '' END",
     ),
     "canonical_url": Case(
         "orders",
         K,
-        _json('{"uniqueId":"a{k}"}', '{"unique_id":"a{k}"}', '{"uniqueId":"","unique_id":"x"}',
-              "{}", '"text"', '{"uniqueId":null,"unique_id":{k}1}'),
+        _json('{"author":{"uniqueId":"a{k}"}}', '{"author":{"unique_id":"a{k}"}}',
+              '{"author":{"uniqueId":"","unique_id":"x"}}', "{}", '{"author":"text"}',
+              '{"author":{"uniqueId":null,"unique_id":{k}1}}'),
         lambda v: S.canonical_url(
-            F.col("key").cast("string"), v, F.concat(F.lit("u"), F.col("o_custkey"))
+            F.col("key").cast("string"),
+            V.read(v, S.OWNER_SHAPE),
+            F.concat(F.lit("u"), F.col("o_custkey")),
         ),
         "'https://www.tiktok.com/@' || "
         + choose(K, f"'a' || {K}", f"'a' || {K}", "'u' || o_custkey", "'u' || o_custkey",
@@ -183,7 +186,7 @@ CASES: dict[str, Case] = {
         _json('{"reply_id":"0"}', '{"reply_id":0}', "{}", '{"reply_id":"0","reply_to_reply_id":"{k}"}',
               '{"reply_id":null,"replyId":"{k}"}', '{"reply_to_reply_id":{k}1}', '{"reply_id":""}',
               '{"reply_comment_id":"c{k}"}'),
-        S.parent_comment_id,
+        lambda v: S.parent_comment_id(V.read(v, S.PARENT_SHAPE)),
         choose(K, "NULL", "NULL", "NULL", "NULL",
                f"CASE WHEN {K} = 0 THEN NULL ELSE {_TEXT_K} END", f"{K} || '1'", "''",
                f"'c' || {K}"),

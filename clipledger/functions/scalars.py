@@ -45,52 +45,70 @@ def author_hash(handle: Column, salt: str = "") -> Column:
     return F.sha2(F.concat(F.lit(salt), known) if salt else known, 256)
 
 
-def comment_author(raw: Column) -> Column:
-    """Handle of a comment's author as text, else the item's own uid; null when neither is truthy."""
-    user = V.first_present(V.at(raw, "user"), "unique_id", "uniqueId", "uid")
-    return V.to_text(V.first_truthy(user, V.at(raw, "uid")))
+# Where an item keeps the fields below. Several keys are tried in order.
+AUTHOR_SHAPE = "user:struct<unique_id:variant,uniqueId:variant,uid:variant>,uid:variant"
+OVERLAY_SHAPE = (
+    "stickersOnItem:array<struct<stickerText:array<variant>>>,contents:array<struct<desc:variant>>"
+)
+HASHTAG_KEYS = ("textExtra", "text_extra", "content_desc_extra")
+HASHTAG_SHAPE = ",".join(
+    f"{key}:array<struct<hashtagName:variant,hashtag_name:variant>>" for key in HASHTAG_KEYS
+)
+OWNER_SHAPE = "author:struct<uniqueId:variant,unique_id:variant>"
+PARENT_KEYS = ("reply_id", "replyId", "reply_to_reply_id", "reply_comment_id")
+PARENT_SHAPE = ",".join(f"{key}:variant" for key in PARENT_KEYS)
+
+
+def comment_author(item: Column) -> Column:
+    """Handle of a comment's author as text, else the item's own uid; null when neither is truthy.
+
+    This and the next functions take an item read with the matching ``_SHAPE``.
+    """
+    user = item["user"]
+    handle = V.first_of(user["unique_id"], user["uniqueId"], user["uid"])
+    return V.to_text(V.first_truthy(handle, item["uid"]))
+
 
+def _or_empty(values: Column, kind: str) -> Column:
+    return F.coalesce(values, F.expr(f"cast(array() as array<{kind}>)"))
 
-def overlay_text(raw: Column) -> Column:
+
+def overlay_text(item: Column) -> Column:
     """Sticker texts, then content descriptions, one per line; null when nothing is left."""
-    stickers = F.flatten(
-        F.transform(
-            V.list_at(raw, "stickersOnItem"), lambda item: V.list_at(item, "stickerText")
-        )
+    stickers = F.transform(
+        item["stickersOnItem"], lambda one: _or_empty(one["stickerText"], "variant")
     )
-    captions = F.transform(V.list_at(raw, "contents"), lambda item: V.at(item, "desc"))
-    kept = F.filter(F.concat(stickers, captions), V.truthy)
-    lines = F.transform(kept, lambda item: strip(V.to_text(item)))
+    captions = F.transform(item["contents"], lambda one: one["desc"])
+    kept = F.filter(
+        F.concat(_or_empty(F.flatten(stickers), "variant"), _or_empty(captions, "variant")),
+        V.truthy,
+    )
+    lines = F.transform(kept, lambda one: strip(V.to_text(one)))
     return F.nullif(
         F.array_join(F.filter(lines, lambda line: line != ""), "\n"), F.lit("")
     )
 
 
-def hashtags(raw: Column) -> Column:
+def hashtags(item: Column) -> Column:
     """Hashtag names of all three lists in order, first mention kept; never null."""
-    extras = F.concat(
-        V.list_at(raw, "textExtra"),
-        V.list_at(raw, "text_extra"),
-        V.list_at(raw, "content_desc_extra"),
-    )
+    kind = "struct<hashtagName:variant,hashtag_name:variant>"
+    extras = F.concat(*[_or_empty(item[key], kind) for key in HASHTAG_KEYS])
     names = F.transform(
-        extras, lambda extra: V.first_present(extra, "hashtagName", "hashtag_name")
+        extras, lambda extra: V.first_of(extra["hashtagName"], extra["hashtag_name"])
     )
     return F.array_distinct(F.transform(F.filter(names, V.truthy), V.to_text))
 
 
-def canonical_url(video_id: Column, author: Column, client: Column) -> Column:
+def canonical_url(video_id: Column, item: Column, client: Column) -> Column:
     """Link of a video under its author's name, or the client's when the author has none."""
-    name = V.first_present(author, "uniqueId", "unique_id")
+    name = V.first_of(item["author"]["uniqueId"], item["author"]["unique_id"])
     owner = F.coalesce(V.to_text(F.when(V.truthy(name), name)), client)
     return F.concat(F.lit(SITE), owner, F.lit("/video/"), video_id)
 
 
-def parent_comment_id(raw: Column) -> Column:
+def parent_comment_id(item: Column) -> Column:
     """Id of the comment answered; null for top-level comments, which say 0 or nothing."""
-    pid = V.first_present(
-        raw, "reply_id", "replyId", "reply_to_reply_id", "reply_comment_id"
-    )
+    pid = V.first_of(*[item[key] for key in PARENT_KEYS])
     return F.when(~F.to_json(pid).isin(*NO_PARENT_JSON), V.to_text(pid))
 
 

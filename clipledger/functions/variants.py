@@ -24,14 +24,28 @@ def at(value: Column, key: str) -> Column:
     return F.try_variant_get(value, f"$['{key}']", "variant")
 
 
+def read(value: Column, *shape: str) -> Column:
+    """Several fields of an object at once, as a struct of the given shape.
+
+    One walk over the object instead of one per field. Fields that are missing or have another
+    shape are null on their own; anything but an object gives null.
+    """
+    return F.try_variant_get(value, "$", f"struct<{','.join(shape)}>")
+
+
 def present(value: Column) -> Column:
     """The value, with JSON null turned into SQL null."""
     return F.when(~F.is_variant_null(value), value)
 
 
+def first_of(*values: Column) -> Column:
+    """First present value."""
+    return F.coalesce(*[present(value) for value in values])
+
+
 def first_present(value: Column, *keys: str) -> Column:
     """First of ``keys`` whose value is present."""
-    return F.coalesce(*[present(at(value, key)) for key in keys])
+    return first_of(*[at(value, key) for key in keys])
 
 
 def truthy(value: Column) -> Column:
@@ -60,9 +74,18 @@ def to_text(value: Column) -> Column:
 def to_int(value: Column) -> Column:
     """Lenient integer: numeric strings and booleans convert, fractions truncate, the rest is null.
 
-    Digits grouped with underscores, non-ASCII digits and values beyond 64 bits give null.
+    Digits grouped with underscores, non-ASCII digits and values beyond 64 bits give null. Plain
+    digits and text that cannot be a number are told apart first, since the general conversion
+    raises and catches an error for each value it refuses.
     """
-    return F.try_variant_get(value, "$", "bigint")
+    text = F.to_json(value)
+    return (
+        F.when(
+            text.rlike('^"?-?[0-9]{1,18}"?$'), F.translate(text, '"', "").try_cast("bigint")
+        )
+        .when(text.rlike(r'^"([^0-9\\]*|[^"\\]*[A-Za-z.][^"\\]*)"$'), F.lit(None))
+        .otherwise(F.try_variant_get(value, "$", "bigint"))
+    )
 
 
 def elements(value: Column) -> Column:

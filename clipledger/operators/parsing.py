@@ -11,42 +11,75 @@ from clipledger.functions import scalars as S
 from clipledger.functions import variants as V
 
 
+# Where raw items keep what becomes a column, the first present key counting.
+VIDEO_SHAPE = (
+    "id:variant,aweme_id:variant,createTime:variant,create_time:variant,"
+    "desc:string,content_desc:string,"
+    "stats:variant,statsV2:variant,statistics:variant,"
+    "music:variant,added_sound_music_info:variant,video:struct<duration:variant>",
+    S.OWNER_SHAPE,
+    S.OVERLAY_SHAPE,
+    S.HASHTAG_SHAPE,
+)
+STATS_SHAPE = (
+    "diggCount:variant,digg_count:variant,commentCount:variant,comment_count:variant,"
+    "shareCount:variant,share_count:variant,playCount:variant,play_count:variant"
+)
+COMMENT_SHAPE = (
+    "cid:variant,id:variant,text:string,digg_count:variant,diggCount:variant,"
+    "reply_comment_total:variant,replyCommentTotal:variant,reply_total:variant,"
+    "create_time:variant,createTime:variant",
+    S.PARENT_SHAPE,
+    S.AUTHOR_SHAPE,
+)
+
+
+def _read_items(
+    items: DataFrame, shape: Sequence[str], id_keys: Sequence[str], others: Sequence[str]
+) -> DataFrame:
+    """Items read into ``r`` with their id in ``raw_id``; those without a truthy id drop out.
+
+    They drop out in an explode of at most one element. A filter would be pushed below the
+    projection and read every item twice.
+    """
+    read = items.select(*others, V.read(F.col("item"), *shape).alias("r"))
+    raw_id = V.first_of(*[F.col("r")[key] for key in id_keys])
+    kept = F.explode(F.when(V.truthy(raw_id), F.array("r"))).alias("r")
+    return read.select(*others, kept).withColumn("raw_id", raw_id)
+
+
 def parse_videos(items: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Video rows from ``item``, ``client`` and ``fetched_at``; ``keep`` passes columns through.
 
     An item without a truthy id gives no row, and so does anything that is not an object.
     """
-    raw = F.col("item")
-    raw_id = V.first_present(raw, "id", "aweme_id")
-    staged = items.where(V.truthy(raw_id)).select(
-        "item",
-        "client",
-        "fetched_at",
-        *keep,
-        V.to_text(raw_id).alias("video_id"),
-        V.first_truthy(
-            V.at(raw, "stats"), V.at(raw, "statsV2"), V.at(raw, "statistics")
-        ).alias("_stats"),
-        V.first_truthy(V.at(raw, "music"), V.at(raw, "added_sound_music_info")).alias("_music"),
+    r = F.col("r")
+    staged = _read_items(
+        items, VIDEO_SHAPE, ("id", "aweme_id"), ("client", "fetched_at", *keep)
+    )
+    stats = V.first_truthy(r["stats"], r["statsV2"], r["statistics"])
+    music = V.first_truthy(r["music"], r["added_sound_music_info"])
+    staged = staged.select(
+        "*",
+        V.to_text(F.col("raw_id")).alias("video_id"),
+        V.read(stats, STATS_SHAPE).alias("stats"),
+        V.read(music, "title:string")["title"].alias("music"),
     )
-    stats = F.col("_stats")
 
-    def metric(*keys: str) -> Column:
-        return V.to_int(V.first_present(stats, *keys))
+    def metric(web: str, native: str) -> Column:
+        return V.to_int(V.first_of(F.col("stats")[web], F.col("stats")[native]))
 
     return staged.select(
         "video_id",
         "client",
-        S.canonical_url(F.col("video_id"), V.at(raw, "author"), F.col("client")).alias("url"),
-        S.epoch_to_utc(V.to_int(V.first_present(raw, "createTime", "create_time"))).alias(
-            "created_at"
-        ),
-        V.to_text(V.first_present(raw, "desc", "content_desc")).alias("caption"),
-        S.overlay_text(raw).alias("overlay_text"),
+        S.canonical_url(F.col("video_id"), r, F.col("client")).alias("url"),
+        S.epoch_to_utc(V.to_int(V.first_of(r["createTime"], r["create_time"]))).alias("created_at"),
+        F.coalesce(r["desc"], r["content_desc"]).alias("caption"),
+        S.overlay_text(r).alias("overlay_text"),
         F.lit(None).cast("string").alias("transcript"),
-        S.hashtags(raw).alias("hashtags"),
-        V.to_text(V.first_present(F.col("_music"), "title")).alias("music"),
-        V.to_int(V.first_present(V.at(raw, "video"), "duration")).alias("duration_s"),
+        S.hashtags(r).alias("hashtags"),
+        "music",
+        V.to_int(r["video"]["duration"]).alias("duration_s"),
         metric("diggCount", "digg_count").alias("like_count"),
         metric("commentCount", "comment_count").alias("comment_count"),
         metric("shareCount", "share_count").alias("share_count"),
@@ -63,22 +96,21 @@ def parse_comments(
 
     The author leaves as a hash only; ``salt`` is added to it when given.
     """
-    raw = F.col("item")
-    raw_id = V.first_present(raw, "cid", "id")
-    return items.where(V.truthy(raw_id)).select(
-        V.to_text(raw_id).alias("comment_id"),
+    r = F.col("r")
+    staged = _read_items(
+        items, COMMENT_SHAPE, ("cid", "id"), ("video_id", "client", "fetched_at", *keep)
+    )
+    replies = V.first_of(r["reply_comment_total"], r["replyCommentTotal"], r["reply_total"])
+    return staged.select(
+        V.to_text(F.col("raw_id")).alias("comment_id"),
         "video_id",
         "client",
-        V.to_text(V.first_present(raw, "text")).alias("text"),
-        V.to_int(V.first_present(raw, "digg_count", "diggCount")).alias("like_count"),
-        V.to_int(
-            V.first_present(raw, "reply_comment_total", "replyCommentTotal", "reply_total")
-        ).alias("reply_count"),
-        S.parent_comment_id(raw).alias("parent_comment_id"),
-        S.author_hash(S.comment_author(raw), salt).alias("author_hash"),
-        S.epoch_to_utc(V.to_int(V.first_present(raw, "create_time", "createTime"))).alias(
-            "created_at"
-        ),
+        r["text"].alias("text"),
+        V.to_int(V.first_of(r["digg_count"], r["diggCount"])).alias("like_count"),
+        V.to_int(replies).alias("reply_count"),
+        S.parent_comment_id(r).alias("parent_comment_id"),
+        S.author_hash(S.comment_author(r), salt).alias("author_hash"),
+        S.epoch_to_utc(V.to_int(V.first_of(r["create_time"], r["createTime"]))).alias("created_at"),
         S.collected_at(F.col("fetched_at")).alias("collected_at"),
         *keep,
     )

@@ -223,8 +223,8 @@ def contract_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def table_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both views over stored files, then one SQL statement on them."""
     path = scratch_dir(spark, "views")
-    _videos(spark, sf_dir).write.partitionBy("client").parquet(f"{path}/video")
-    _comments(spark, sf_dir).write.partitionBy("client").parquet(f"{path}/comments")
+    _videos(spark, sf_dir).write.parquet(f"{path}/video")
+    _comments(spark, sf_dir).write.parquet(f"{path}/comments")
     tables.table_views(spark, f"{path}/video", f"{path}/comments")
     return spark.sql(
         "SELECT client, 'video' AS kind, count(*) AS n FROM video GROUP BY client "
