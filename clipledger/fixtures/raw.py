@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from clipledger.functions import scalars as S
 
 _ALL_FIELDS = "map('ignoreNullFields', 'false')"
-_EPOCH = "timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {})"
+_EPOCH = "(datediff(date({0}), DATE'1970-01-01') * 86400L + hour({0}) * 3600 + minute({0}) * 60 + second({0}))"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

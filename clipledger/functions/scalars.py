@@ -162,9 +162,12 @@ def as_utc_ntz(instant: Column) -> Column:
 
 
 def from_utc_ntz(wall_clock: Column) -> Column:
-    """UTC wall-clock time as an instant, whatever the session zone."""
-    return F.timestamp_micros(
-        F.timestamp_diff(
-            "MICROSECOND", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"), wall_clock
-        )
-    )
+    """UTC wall-clock time as an instant, whatever the session zone.
+
+    Put together from date and clock fields: differences of wall-clock times go through the
+    session zone, where some of them do not exist.
+    """
+    days = F.datediff(wall_clock.cast("date"), F.lit("1970-01-01").cast("date")).cast("bigint")
+    minutes = (days * 24 + F.hour(wall_clock)) * 60 + F.minute(wall_clock)
+    seconds = minutes * 60 + F.date_part(F.lit("SECONDS"), wall_clock)
+    return F.timestamp_micros((seconds * 1_000_000).cast("bigint"))
