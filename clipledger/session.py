@@ -11,6 +11,8 @@ from pyspark.sql import SparkSession
 RUNTIME_CONF = {
     # Repeated keys in one JSON object: the last one counts.
     "spark.sql.variant.allowDuplicateKeys": "true",
+    # Tables written by other tools may hold nanosecond times; contract scans convert them.
+    "spark.sql.legacy.parquet.nanosAsLong": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # Splits the hot request / video / parent partitions of the joins below.
