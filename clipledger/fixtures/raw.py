@@ -17,7 +17,14 @@ _EPOCH = "(datediff(date({0}), DATE'1970-01-01') * 86400L + hour({0}) * 3600 + m
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A test table, over all cores.
+
+    The small tables are one Parquet row group each, which is one task. They are spread round
+    robin, so that no key decides where rows go; a scan with enough tasks is left alone.
+    """
+    scan = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
 
 
 VIDEO_JSON = f"""
