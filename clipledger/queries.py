@@ -615,7 +615,10 @@ def _second_crawl(spark: SparkSession, sf_dir: str) -> DataFrame:
     later = R.profile_pages(spark, sf_dir, "r2").unionByName(
         R.comment_pages(spark, sf_dir, "r2", _LIKES).where("bigint(video_id) % 3 = 0")
     )
-    return later.withColumn("fetched_at", F.expr("fetched_at + INTERVAL 24 HOURS"))
+    # In seconds: adding an interval of a day would follow the session zone's clock changes.
+    return later.withColumn(
+        "fetched_at", F.timestamp_seconds(F.unix_seconds("fetched_at") + 86400)
+    )
 
 
 @register(

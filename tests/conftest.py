@@ -15,6 +15,7 @@ def spark():
         SparkSession.builder.master("local[8]")
         .appName("clipledger-tests")
         .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.sources.parallelPartitionDiscovery.threshold", "1000")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "6g")

@@ -123,16 +123,16 @@ def test_failed_responses(spark):
 
 
 def test_stream_equals_batch(spark, tmp_path):
-    """Pages of two crawls land in any order over two calls and four micro-batches."""
+    """Pages of two crawls land in any order over two calls and three micro-batches."""
     first, second = landed_rows(), landed_rows("r2", likes=7, day=3)
     wanted = safe(batch(spark, str(tmp_path / "batch"), first, second))
     rows = [*first, *second]
     random.Random(1).shuffle(rows)
     landing, root, state = (tmp_path / name for name in ("landing", "tables", "state"))
     landing.mkdir()
-    for call in range(2):
-        for part in range(2):
-            share = rows[call * 2 + part :: 4]
+    for call, parts in enumerate(((0, 1), (2,))):
+        for part in parts:
+            share = rows[part::3]
             (landing / f"{call}-{part}.json").write_text("\n".join(map(json.dumps, share)))
         ingest_incremental(
             spark, str(landing), str(root), str(state), max_files_per_batch=1, **BOUNDS
