@@ -15,7 +15,7 @@ def connected(edges: DataFrame, name: str = "stars") -> DataFrame:
     nothing changes, after about log(nodes) of them. A node with very many neighbours is one row on the small side of
     each join. Every round is written to the shared folder.
     """
-    now = stage(_oriented(edges), name)
+    now = stage(_small_star(_oriented(edges)), name)
     mark = _mark(now)
     while True:
         now = stage(_small_star(_large_star(now)), name)
@@ -49,5 +49,6 @@ def _large_star(edges: DataFrame) -> DataFrame:
 def _small_star(edges: DataFrame) -> DataFrame:
     # u < v throughout: v points to its least neighbour, and so do its other smaller neighbours.
     least = edges.groupBy("v").agg(F.min("u").alias("m"))
-    others = edges.join(least, "v").where("u <> m").select(F.col("m").alias("u"), F.col("u").alias("v"))
-    return others.unionByName(least.select(F.col("m").alias("u"), "v")).distinct()
+    return edges.join(least, "v").select(
+        F.col("m").alias("u"), F.when(F.col("u") == F.col("m"), F.col("v")).otherwise(F.col("u")).alias("v")
+    ).distinct()

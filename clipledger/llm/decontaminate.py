@@ -11,11 +11,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clipledger.llm.support import WordHashes, gram_hashes, mixed, stage, text_key, utf8_texts
+from clipledger.llm.support import Words, gram_hashes, mixed, pieces, stage, text_key, utf8_texts
 
 #: Words of a fingerprint, and fingerprints of which the least is kept: spans of 5 + 6 - 1 = 10 words are found.
 GRAM, WINDOW = 5, 6
@@ -33,10 +32,6 @@ _WORD_BYTES = bytes(
 _MARKS = "size int, fingerprint long, at long, before int, context string"
 
 
-def words_of(text: bytes) -> list[bytes]:
-    return text.translate(_WORD_BYTES).split()
-
-
 def _marks(hashes: np.ndarray, first: np.ndarray, sizes: list[int], known):
     """Fingerprints of all texts of a batch, laid end to end.
 
@@ -71,18 +66,14 @@ def _fingerprints(sizes: list[int], known, item: bool):
     """Arrow batches of (keys..., text) to keys, n_words and a list of marks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = WordHashes()
         for batch in batches:
-            for part in _parts(batch):
-                yield one(part, cache)
-
-    def one(batch: pa.RecordBatch, cache: WordHashes) -> pa.RecordBatch:
-        split = [words_of(text) if text else [] for text in utf8_texts(batch.column("text"))]
-        counts = np.array([len(words) for words in split], dtype=np.int64)
-        ends = np.cumsum(counts)
-        begins = ends - counts
-        words = [word for one in split for word in one]
-        hashes = cache.of(words)
+            for part in pieces(batch):
+                yield one(part)
+
+    def one(batch: pa.RecordBatch) -> pa.RecordBatch:
+        words = Words(utf8_texts(batch.column("text")), _WORD_BYTES)
+        begins, ends, hashes = words.since, words.to, words.hashes
+        counts = ends - begins
         first, last = np.repeat(begins, counts), np.repeat(ends, counts)
         rows = []
         if item:
@@ -99,7 +90,7 @@ def _fingerprints(sizes: list[int], known, item: bool):
                 else:
                     lo, hi = p, p - size
                 rows.append(
-                    (int(first[p]), size, value - (1 << 63), p - int(first[p]), p - lo, b" ".join(words[lo:hi]).decode())
+                    (int(first[p]), size, value - (1 << 63), p - int(first[p]), p - lo, words.text(lo, hi))
                 )
         rows.sort(key=lambda row: row[0])
         starts = np.array([row[0] for row in rows], dtype=np.int64)
@@ -126,16 +117,6 @@ def _fingerprints(sizes: list[int], known, item: bool):
     return run
 
 
-def _parts(batch: pa.RecordBatch, limit: int = 16_000_000) -> Iterator[pa.RecordBatch]:
-    """Pieces of a batch with about ``limit`` bytes of text, or one larger text."""
-    sizes = pc.binary_length(batch.column("text")).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-    piece = np.cumsum(sizes) // limit
-    starts = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), batch.num_rows]
-    for a, b in zip(starts, starts[1:]):
-        if b > a:
-            yield batch.slice(a, b - a)
-
-
 def _spans(pairs: DataFrame) -> DataFrame:
     """Extends joined marks; adds ``start`` and ``length`` of the shared run of words, null where it is too short."""
 

@@ -18,11 +18,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clipledger.llm.components import connected
-from clipledger.llm.support import LOWER, WordHashes, gram_hashes, mixed, stage, utf8_texts
+from clipledger.llm.support import LOWER, Words, gram_hashes, mixed, pieces, stage, utf8_texts
 
 SHINGLE = 5
 #: Cells that shingles are counted in to order them; of this size for any corpus.
-CELLS = 1 << 18
+CELL_BITS = 18
+CELLS = 1 << CELL_BITS
 #: Shingles of a family that one task holds, about; larger families are searched in blocks.
 BLOCK_SHINGLES = 3_000_000
 #: Bits of the filter for documents that are read again.
@@ -36,53 +37,87 @@ def least_overlap(n: int, m: int) -> int:
     return -(-4 * (n + m) // 9)
 
 
-def shingle_set(text: bytes | None, cache: WordHashes) -> np.ndarray:
-    """Sorted 64-bit hashes of the distinct five-word shingles; of fewer words, of the whole sequence."""
-    words = text.translate(LOWER).split() if text else []
-    if not words:
-        return np.empty(0, np.uint64)
-    hashes = cache.of(words)
-    if len(words) < SHINGLE:
-        return mixed(gram_hashes(hashes, len(words)) + np.uint64(len(words)))
-    return np.unique(gram_hashes(hashes, SHINGLE))
+class Sets:
+    """The shingle sets of several texts: sorted 64-bit hashes end to end, their sizes, and 128 bits that stand for each.
 
+    Shingles are of five words; a text of fewer is one shingle. A text without words has an empty set.
+    """
 
-def _identity(grams: np.ndarray) -> tuple[int, int]:
-    """128 bits that stand for a set."""
-    with np.errstate(over="ignore"):
-        a = int(mixed(grams).sum(dtype=np.uint64))
-        b = int((mixed(grams ^ np.uint64(0xD1B54A32D192ED03)) * np.uint64(0x2545F4914F6CDD1D)).sum(dtype=np.uint64))
-    return a - (1 << 63), b - (1 << 63)
+    def __init__(self, texts: list[bytes | None]):
+        words = Words(texts, LOWER)
+        grams = gram_hashes(words.hashes, SHINGLE)
+        sets = []
+        for since, to in zip(words.since.tolist(), words.to.tolist()):
+            if to - since >= SHINGLE:
+                one = np.sort(grams[since : to - SHINGLE + 1])
+                new = np.empty(len(one), bool)
+                new[0] = True
+                np.not_equal(one[1:], one[:-1], out=new[1:])
+                sets.append(one[new])
+            elif to > since:
+                size = to - since
+                sets.append(mixed(gram_hashes(words.hashes[since:to], size) + np.uint64(size)))
+            else:
+                sets.append(np.empty(0, np.uint64))
+        self.sizes = np.array([len(one) for one in sets], dtype=np.int64)
+        self.ends = np.cumsum(self.sizes)
+        self.flat = np.concatenate(sets) if sets else np.empty(0, np.uint64)
+        other = mixed(self.flat ^ np.uint64(0xD1B54A32D192ED03)) * np.uint64(0x2545F4914F6CDD1D)
+        self.a, self.b = (self._sums(values).view(np.int64) for values in (mixed(self.flat), other))
+
+    def _sums(self, values: np.ndarray) -> np.ndarray:
+        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values, dtype=np.uint64)])
+        return total[self.ends] - total[self.ends - self.sizes]
+
+    def of(self, at: int) -> np.ndarray:
+        return self.flat[self.ends[at] - self.sizes[at] : self.ends[at]]
+
+
+class Seen:
+    """Sets met before in this task; forgets all once it holds ``limit``, as a set met twice does no harm."""
+
+    def __init__(self, limit: int = 500_000):
+        self.keys, self.limit = set(), limit
+
+    def new(self, sets: Sets) -> list[int]:
+        out = []
+        for at, (n, a, b) in enumerate(zip(sets.sizes.tolist(), sets.a.tolist(), sets.b.tolist())):
+            if n and (a, b) not in self.keys:
+                if len(self.keys) >= self.limit:
+                    self.keys.clear()
+                self.keys.add((a, b))
+                out.append(at)
+        return out
+
+
+def _cells(grams: np.ndarray) -> np.ndarray:
+    return (grams >> np.uint64(64 - CELL_BITS)).astype(np.int64)
 
 
 def _signatures(carry: list[str]):
     """Rows of documents, and at the end counts of shingles by cell."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, counts, seen = WordHashes(), np.zeros(CELLS, np.int64), set()
+        counts, seen = np.zeros(CELLS, np.int64), Seen()
         names = ["doc_id", *carry, "n", "a", "b", "cells", "counts"]
-        kinds = None
+        kinds = []
         for batch in batches:
             kinds = [batch.column(name).type for name in ["doc_id", *carry]]
-            rows = []
-            for text in utf8_texts(batch.column("text")):
-                grams = shingle_set(text, cache)
-                if not len(grams):
-                    rows.append((0, None, None))
-                    continue
-                key = _identity(grams)
-                rows.append((len(grams), *key))
-                if key not in seen:
-                    if len(seen) >= 1_000_000:
-                        seen.clear()
-                    seen.add(key)
-                    counts += np.bincount((grams >> np.uint64(46)).astype(np.int64), minlength=CELLS)
-            n, a, b = zip(*rows) if rows else ((), (), ())
-            nothing = pa.nulls(batch.num_rows, pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(name) for name in ["doc_id", *carry]), *(pa.array(x, type=pa.int64()) for x in (n, a, b)), nothing, nothing],
-                names=names,
-            )
+            for part in pieces(batch):
+                sets = Sets(utf8_texts(part.column("text")))
+                new = np.zeros(len(sets.sizes), bool)
+                new[seen.new(sets)] = True
+                counts += np.bincount(_cells(sets.flat[np.repeat(new, sets.sizes)]), minlength=CELLS)
+                nothing = pa.nulls(part.num_rows, pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *(part.column(name) for name in ["doc_id", *carry]),
+                        *(pa.array(values) for values in (sets.sizes, sets.a, sets.b)),
+                        nothing,
+                        nothing,
+                    ],
+                    names=names,
+                )
         cells = np.flatnonzero(counts)
         if len(cells):
             yield pa.RecordBatch.from_arrays(
@@ -102,59 +137,52 @@ def _prefixes(order):
     """The first shingles of every set in the global order, as (gram, node)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, seen, frequency = WordHashes(), set(), order.value
+        seen, level = Seen(), order.value
         for batch in batches:
-            grams, nodes = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-            for text in utf8_texts(batch.column("text")):
-                one = shingle_set(text, cache)
-                if not len(one):
-                    continue
-                key = _identity(one)
-                if key in seen:
-                    continue
-                if len(seen) >= 1_000_000:
-                    seen.clear()
-                seen.add(key)
-                first = len(one) - -(-4 * len(one) // 5) + 1
-                rank = np.lexsort((one, frequency[(one >> np.uint64(46)).astype(np.int64)]))
-                chosen = one[rank[:first]]
-                grams.append(chosen.view(np.int64))
-                nodes.append(np.full(first, key[0], np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(grams)), pa.array(np.concatenate(nodes))], names=["gram", "node"]
-            )
+            for part in pieces(batch):
+                sets = Sets(utf8_texts(part.column("text")))
+                grams, nodes = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+                for at in seen.new(sets):
+                    one = sets.of(at)
+                    first = prefix_length(len(one))
+                    # Stable: equal levels stay in order of their hashes.
+                    grams.append(one[np.argsort(level[_cells(one)], kind="stable")[:first]])
+                    nodes.append(np.full(first, sets.a[at]))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(grams).view(np.int64)), pa.array(np.concatenate(nodes))], names=["gram", "node"]
+                )
 
     return run
 
 
+def prefix_length(n: int) -> int:
+    """So many of its first shingles in any common order: one of them is shared with every set that is alike."""
+    return n - -(-4 * n // 5) + 1
+
+
 def _members(chosen):
     """The whole sets of documents whose doc_id the filter holds (and of those without one)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = WordHashes()
         for batch in batches:
-            rows = []
-            for key, text in zip(batch.column("doc_id").to_pylist(), utf8_texts(batch.column("text"))):
-                if key is None or _in_filter(chosen.value, key):
-                    one = shingle_set(text, cache)
-                    if len(one):
-                        rows.append((key, *_identity(one), one.tobytes()))
-            key, a, b, grams = zip(*rows) if rows else ((), (), (), ())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(key, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(grams, pa.binary())],
-                names=["doc_id", "a", "b", "grams"],
-            )
+            ids = batch.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            cell = _filter_cells(ids)
+            held = (chosen.value[cell >> 3] >> (cell & 7).astype(np.uint8)) & 1 == 1
+            wanted = pa.array(held | batch.column("doc_id").is_null().to_numpy(zero_copy_only=False))
+            for part in pieces(batch.filter(wanted)):
+                sets = Sets(utf8_texts(part.column("text")))
+                grams = [sets.of(at).tobytes() for at in range(part.num_rows)]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), pa.array(sets.a), pa.array(sets.b), pa.array(grams, pa.binary())],
+                    names=["doc_id", "a", "b", "grams"],
+                )
 
     return run
 
 
-def _cell(doc_id: int) -> int:
-    return ((doc_id * 0x9E3779B97F4A7C15) & ((1 << 64) - 1)) >> (64 - FILTER_BITS)
-
-
-def _in_filter(bits: np.ndarray, doc_id: int) -> bool:
-    cell = _cell(doc_id)
-    return bool((bits[cell >> 3] >> (cell & 7)) & 1)
+def _filter_cells(ids: np.ndarray) -> np.ndarray:
+    spread = ids.astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return (spread >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
 
 
 def _filter_of(ids: DataFrame) -> np.ndarray:
@@ -163,9 +191,8 @@ def _filter_of(ids: DataFrame) -> np.ndarray:
 
     def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = batch.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-            cell = np.unique((values * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - FILTER_BITS))
-            yield pa.RecordBatch.from_arrays([pa.array(cell.astype(np.int64))], names=["cell"])
+            cell = np.unique(_filter_cells(batch.column("doc_id").to_numpy(zero_copy_only=False)))
+            yield pa.RecordBatch.from_arrays([pa.array(cell)], names=["cell"])
 
     def pack(table: pa.Table) -> pa.Table:
         part = table.column("part")[0].as_py()
@@ -325,9 +352,12 @@ def link_documents(docs: DataFrame, carry: tuple[str, ...] = (), block_shingles:
     )
     frequency = np.zeros(CELLS, np.int64)
     frequency[cells["cells"].to_numpy(np.int64)] = cells["n"].to_numpy(np.int64)
-    order = spark.sparkContext.broadcast(frequency)
+    # Ranks of cells, as small numbers: any order that all documents share will do.
+    rank = np.empty(CELLS, np.int64)
+    rank[np.argsort(frequency, kind="stable")] = np.arange(CELLS)
+    order = spark.sparkContext.broadcast((rank * 65536 // CELLS).astype(np.uint16))
 
-    postings = texts.select("text").mapInArrow(_prefixes(order), "gram long, node long")
+    postings = stage(texts.select("text").mapInArrow(_prefixes(order), "gram long, node long"), "postings")
     shared = postings.groupBy("gram").agg(F.min("node").alias("u"), F.max("node").alias("v")).where("u <> v")
     meets = stage(
         postings.join(shared.select("gram", "u"), "gram").select("u", F.col("node").alias("v")).where("u <> v").distinct(),

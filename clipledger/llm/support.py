@@ -3,17 +3,18 @@
 from __future__ import annotations
 
 import base64
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clipledger.session import scratch_dir
 
-#: Rows of an Arrow batch; a batch also ends at Spark's own limit in bytes.
 NAME_PREFIX = "__llm_"
 
 
@@ -65,24 +66,72 @@ def utf8_texts(column: pa.ChunkedArray | pa.Array) -> list[bytes | None]:
     return column.cast(pa.large_binary()).to_pylist()
 
 
-LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
+#: A-Z to a-z, white space to blanks.
+LOWER = bytes(b + 32 if 65 <= b <= 90 else 32 if 9 <= b <= 13 else b for b in range(256))
 
 
-class WordHashes(dict):
-    """64-bit hashes of words, remembered; forgets all once it holds ``limit`` of them."""
+#: Bytes of text that are hashed at a time; a longer text makes a larger piece.
+PIECE_BYTES = 1 << 21
+_STEP = 0x9E3779B97F4A7C15 & ~7 | 5  # 5 modulo 8: its powers differ in as many bits as can be
+_BACK = pow(_STEP, -1, 1 << 64)
+# A value per byte, none for blanks.
+_BYTE_VALUES = np.array([xxhash.xxh3_64_intdigest(bytes([b]), seed=17) | 1 for b in range(256)], dtype=np.uint64)
+_BYTE_VALUES[32] = 0
 
-    def __init__(self, limit: int = 300_000):
-        super().__init__()
-        self.limit = limit
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.limit:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
+class Powers:
+    """Powers of the step and of its inverse modulo 2 ** 64, as far as they were asked for."""
 
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
+    def __init__(self):
+        self.up = self.down = np.ones(1, np.uint64)
+
+    def reach(self, count: int) -> None:
+        if count > len(self.up):
+            ups, downs = np.full(count, _STEP, np.uint64), np.full(count, _BACK, np.uint64)
+            ups[0] = downs[0] = 1
+            self.up, self.down = np.cumprod(ups), np.cumprod(downs)
+
+
+_POWERS = Powers()
+
+
+class Words:
+    """The words of several texts: 64-bit hashes, end to end, and where each text's begin and end.
+
+    ``table`` maps bytes; those that map to a blank separate words. A hash is the sum over the word's bytes of a value of the byte
+    times a power for its position, from running sums over the whole piece.
+    """
+
+    def __init__(self, texts: list[bytes | None], table: bytes):
+        self.data = b"\n".join([text or b"" for text in texts]).translate(table) + b" "
+        codes = np.frombuffer(self.data, np.uint8)
+        word = np.empty(len(codes) + 1, dtype=np.int8)
+        word[0] = 0
+        word[1:] = codes != 32
+        turns = np.diff(word)
+        self.starts, self.ends = np.flatnonzero(turns == 1), np.flatnonzero(turns == -1)
+        _POWERS.reach(len(codes))
+        sums = np.zeros(len(codes) + 1, np.uint64)
+        np.cumsum(_BYTE_VALUES[codes] * _POWERS.up[: len(codes)], out=sums[1:])
+        self.hashes = mixed((sums[self.ends] - sums[self.starts]) * _POWERS.down[self.starts])
+        sizes = np.array([len(text or b"") + 1 for text in texts], dtype=np.int64)
+        borders = np.cumsum(sizes)
+        self.to = np.searchsorted(self.starts, borders)
+        self.since = np.concatenate([[0], self.to[:-1]]).astype(np.int64)
+
+    def text(self, first: int, last: int) -> str:
+        """Words first to last - 1, one blank between any two."""
+        return b" ".join(self.data[self.starts[first] : self.ends[last - 1]].split()).decode()
+
+
+def pieces(batch: pa.RecordBatch, limit: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with about ``limit`` bytes of text each, or one larger text."""
+    sizes = pc.binary_length(batch.column("text")).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    piece = np.cumsum(sizes) // limit
+    starts = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(starts, starts[1:]):
+        if b > a:
+            yield batch.slice(a, b - a)
 
 
 #: Odd multipliers of a gram's words, from the golden ratio and powers of an odd number.
