@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,9 +22,12 @@ from clipledger.llm.components import connected
 from clipledger.llm.support import LOWER, Words, gram_hashes, mixed, pieces, stage, utf8_texts
 
 SHINGLE = 5
-#: Cells that shingles are counted in to order them; of this size for any corpus.
-CELL_BITS = 18
+#: Cells that shingles are counted in to order them: so many for any corpus. They travel in chunks.
+CELL_BITS = 22
 CELLS = 1 << CELL_BITS
+CHUNK = 1 << 14
+#: Tasks whose counts are added up in one group.
+TASKS_TOGETHER = 1000
 #: Shingles of a family that one task holds, about; larger families are searched in blocks.
 BLOCK_SHINGLES = 3_000_000
 #: Bits of the filter for documents that are read again.
@@ -95,37 +99,50 @@ def _cells(grams: np.ndarray) -> np.ndarray:
 
 
 def _signatures(carry: list[str]):
-    """Rows of documents, and at the end counts of shingles by cell."""
+    """Rows of documents, and at the end counts of shingles by cell, in chunks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, seen = np.zeros(CELLS, np.int64), Seen()
-        names = ["doc_id", *carry, "n", "a", "b", "cells", "counts"]
-        kinds = []
+        names = ["doc_id", *carry, "n", "a", "b", "chunk", "task", "cells", "counts"]
+        kinds, waiting, held = [], [], 0
         for batch in batches:
             kinds = [batch.column(name).type for name in ["doc_id", *carry]]
             for part in pieces(batch):
                 sets = Sets(utf8_texts(part.column("text")))
                 new = np.zeros(len(sets.sizes), bool)
                 new[seen.new(sets)] = True
-                counts += np.bincount(_cells(sets.flat[np.repeat(new, sets.sizes)]), minlength=CELLS)
-                nothing = pa.nulls(part.num_rows, pa.list_(pa.int64()))
+                waiting.append(_cells(sets.flat[np.repeat(new, sets.sizes)]))
+                held += len(waiting[-1])
+                if held > CELLS:
+                    counts += np.bincount(np.concatenate(waiting), minlength=CELLS)
+                    waiting, held = [], 0
+                nothing = [pa.nulls(part.num_rows, kind) for kind in (pa.int64(), pa.int64(), pa.binary(), pa.binary())]
                 yield pa.RecordBatch.from_arrays(
                     [
                         *(part.column(name) for name in ["doc_id", *carry]),
                         *(pa.array(values) for values in (sets.sizes, sets.a, sets.b)),
-                        nothing,
-                        nothing,
+                        *nothing,
                     ],
                     names=names,
                 )
-        cells = np.flatnonzero(counts)
-        if len(cells):
+        if waiting:
+            counts += np.bincount(np.concatenate(waiting), minlength=CELLS)
+        rows = []
+        for chunk in range(CELLS // CHUNK):
+            part = counts[chunk * CHUNK : (chunk + 1) * CHUNK]
+            cells = np.flatnonzero(part)
+            if len(cells):
+                rows.append((chunk, cells.astype(np.uint16).tobytes(), part[cells].astype("<i8").tobytes()))
+        if rows:
+            chunk, cells, sums = zip(*rows)
             yield pa.RecordBatch.from_arrays(
                 [
-                    *(pa.nulls(1, kind) for kind in kinds),
-                    *[pa.nulls(1, pa.int64())] * 3,
-                    pa.array([cells], type=pa.list_(pa.int64())),
-                    pa.array([counts[cells]], type=pa.list_(pa.int64())),
+                    *(pa.nulls(len(rows), kind) for kind in kinds),
+                    *[pa.nulls(len(rows), pa.int64())] * 3,
+                    pa.array(chunk, pa.int64()),
+                    pa.array([TaskContext.get().partitionId()] * len(rows), pa.int64()),
+                    pa.array(cells, pa.binary()),
+                    pa.array(sums, pa.binary()),
                 ],
                 names=names,
             )
@@ -133,6 +150,34 @@ def _signatures(carry: list[str]):
     return run
 
 
+def _added(table: pa.Table) -> pa.Table:
+    """The counts of one chunk, added up."""
+    total = np.zeros(CHUNK, np.int64)
+    for cells, sums in zip(table.column("cells").to_pylist(), table.column("counts").to_pylist()):
+        total[np.frombuffer(cells, np.uint16)] += np.frombuffer(sums, "<i8")
+    cells = np.flatnonzero(total)
+    return pa.table(
+        {
+            "chunk": table.column("chunk").slice(0, 1),
+            "cells": pa.array([cells.astype(np.uint16).tobytes()], pa.binary()),
+            "counts": pa.array([total[cells].tobytes()], pa.binary()),
+        }
+    )
+
+
+def _levels(counts: DataFrame) -> np.ndarray:
+    """A rank from 0 to 65535 for each cell, by how many shingles fell into it. Any order will do that all documents share."""
+    schema = "chunk long, cells binary, counts binary"
+    some = counts.groupBy("chunk", F.floor(F.col("task") / TASKS_TOGETHER).alias("together")).applyInArrow(_added, schema)
+    frequency = np.zeros(CELLS, np.int64)
+    for row in some.groupBy("chunk").applyInArrow(_added, schema).collect():  # a row per chunk
+        cells = np.frombuffer(bytes(row["cells"]), np.uint16).astype(np.int64) + row["chunk"] * CHUNK
+        frequency[cells] = np.frombuffer(bytes(row["counts"]), "<i8")
+    # Cells of equal counts get one level.
+    _, value, many = np.unique(frequency, return_inverse=True, return_counts=True)
+    return ((np.cumsum(many) - many)[value] * 65536 // CELLS).astype(np.uint16)
+
+
 def _prefixes(order):
     """The first shingles of every set in the global order, as (gram, node)."""
 
@@ -337,26 +382,17 @@ def link_documents(docs: DataFrame, carry: tuple[str, ...] = (), block_shingles:
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *carry, "text")
     kinds = ", ".join(f"`{name}` {kind}" for name, kind in texts.select("doc_id", *carry).dtypes)
     first = stage(
-        texts.mapInArrow(_signatures(carry), f"{kinds}, n long, a long, b long, cells array<long>, counts array<long>"),
+        texts.mapInArrow(
+            _signatures(carry),
+            f"{kinds}, n long, a long, b long, chunk long, task long, cells binary, counts binary",
+        ),
         "signatures",
     )
-    rows = first.where("n is not null").drop("cells", "counts")
+    rows = first.where("n is not null").drop("chunk", "task", "cells", "counts")
     classes = rows.where("n > 0").groupBy("a", "b").agg(F.min("doc_id").alias("low"), F.max("n").alias("n"))
 
-    cells = (
-        first.where("n is null")
-        .select(F.explode(F.arrays_zip("cells", "counts")).alias("c"))
-        .groupBy("c.cells")
-        .agg(F.sum("c.counts").alias("n"))
-        .toPandas()  # a row per cell
-    )
-    frequency = np.zeros(CELLS, np.int64)
-    frequency[cells["cells"].to_numpy(np.int64)] = cells["n"].to_numpy(np.int64)
-    # Ranks of cells, as small numbers: any order that all documents share will do.
-    rank = np.empty(CELLS, np.int64)
-    rank[np.argsort(frequency, kind="stable")] = np.arange(CELLS)
-    order = spark.sparkContext.broadcast((rank * 65536 // CELLS).astype(np.uint16))
-
+    counts = first.where("n is null").select("chunk", "task", "cells", "counts")
+    order = spark.sparkContext.broadcast(_levels(counts))
     postings = stage(texts.select("text").mapInArrow(_prefixes(order), "gram long, node long"), "postings")
     shared = postings.groupBy("gram").agg(F.min("node").alias("u"), F.max("node").alias("v")).where("u <> v")
     meets = stage(
