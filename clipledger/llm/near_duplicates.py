@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -103,7 +104,7 @@ def _signatures(carry: list[str]):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, seen = np.zeros(CELLS, np.int64), Seen()
-        names = ["doc_id", *carry, "n", "a", "b", "chunk", "task", "cells", "counts"]
+        names = ["doc_id", *carry, "n", "a", "b", "chunk", "task", "counts"]
         kinds, waiting, held = [], [], 0
         for batch in batches:
             kinds = [batch.column(name).type for name in ["doc_id", *carry]]
@@ -116,7 +117,7 @@ def _signatures(carry: list[str]):
                 if held > CELLS:
                     counts += np.bincount(np.concatenate(waiting), minlength=CELLS)
                     waiting, held = [], 0
-                nothing = [pa.nulls(part.num_rows, kind) for kind in (pa.int64(), pa.int64(), pa.binary(), pa.binary())]
+                nothing = [pa.nulls(part.num_rows, kind) for kind in (pa.int64(), pa.int64(), pa.binary())]
                 yield pa.RecordBatch.from_arrays(
                     [
                         *(part.column(name) for name in ["doc_id", *carry]),
@@ -127,22 +128,20 @@ def _signatures(carry: list[str]):
                 )
         if waiting:
             counts += np.bincount(np.concatenate(waiting), minlength=CELLS)
-        rows = []
-        for chunk in range(CELLS // CHUNK):
-            part = counts[chunk * CHUNK : (chunk + 1) * CHUNK]
-            cells = np.flatnonzero(part)
-            if len(cells):
-                rows.append((chunk, cells.astype(np.uint16).tobytes(), part[cells].astype("<i8").tobytes()))
+        rows = [
+            (chunk, _packed(counts[chunk * CHUNK : (chunk + 1) * CHUNK]))
+            for chunk in range(CELLS // CHUNK)
+            if counts[chunk * CHUNK : (chunk + 1) * CHUNK].any()
+        ]
         if rows:
-            chunk, cells, sums = zip(*rows)
+            chunk, packed = zip(*rows)
             yield pa.RecordBatch.from_arrays(
                 [
                     *(pa.nulls(len(rows), kind) for kind in kinds),
                     *[pa.nulls(len(rows), pa.int64())] * 3,
                     pa.array(chunk, pa.int64()),
                     pa.array([TaskContext.get().partitionId()] * len(rows), pa.int64()),
-                    pa.array(cells, pa.binary()),
-                    pa.array(sums, pa.binary()),
+                    pa.array(packed, pa.binary()),
                 ],
                 names=names,
             )
@@ -150,29 +149,36 @@ def _signatures(carry: list[str]):
     return run
 
 
+def _packed(counts: np.ndarray) -> bytes:
+    """Counts of a chunk: a byte each, and the large ones in full."""
+    large = np.flatnonzero(counts >= 255)
+    parts = np.minimum(counts, 255).astype(np.uint8), large.astype("<u4"), counts[large].astype("<i8")
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(part.tobytes() for part in parts))
+
+
+def _unpacked(packed: bytes) -> np.ndarray:
+    data = zstandard.ZstdDecompressor().decompress(packed)
+    counts = np.frombuffer(data, np.uint8, CHUNK).astype(np.int64)
+    many = (len(data) - CHUNK) // 12
+    counts[np.frombuffer(data, "<u4", many, CHUNK)] = np.frombuffer(data, "<i8", many, CHUNK + 4 * many)
+    return counts
+
+
 def _added(table: pa.Table) -> pa.Table:
     """The counts of one chunk, added up."""
     total = np.zeros(CHUNK, np.int64)
-    for cells, sums in zip(table.column("cells").to_pylist(), table.column("counts").to_pylist()):
-        total[np.frombuffer(cells, np.uint16)] += np.frombuffer(sums, "<i8")
-    cells = np.flatnonzero(total)
-    return pa.table(
-        {
-            "chunk": table.column("chunk").slice(0, 1),
-            "cells": pa.array([cells.astype(np.uint16).tobytes()], pa.binary()),
-            "counts": pa.array([total[cells].tobytes()], pa.binary()),
-        }
-    )
+    for packed in table.column("counts").to_pylist():
+        total += _unpacked(packed)
+    return pa.table({"chunk": table.column("chunk").slice(0, 1), "counts": pa.array([_packed(total)], pa.binary())})
 
 
 def _levels(counts: DataFrame) -> np.ndarray:
     """A rank from 0 to 65535 for each cell, by how many shingles fell into it. Any order will do that all documents share."""
-    schema = "chunk long, cells binary, counts binary"
+    schema = "chunk long, counts binary"
     some = counts.groupBy("chunk", F.floor(F.col("task") / TASKS_TOGETHER).alias("together")).applyInArrow(_added, schema)
     frequency = np.zeros(CELLS, np.int64)
     for row in some.groupBy("chunk").applyInArrow(_added, schema).collect():  # a row per chunk
-        cells = np.frombuffer(bytes(row["cells"]), np.uint16).astype(np.int64) + row["chunk"] * CHUNK
-        frequency[cells] = np.frombuffer(bytes(row["counts"]), "<i8")
+        frequency[row["chunk"] * CHUNK : (row["chunk"] + 1) * CHUNK] = _unpacked(bytes(row["counts"]))
     # Cells of equal counts get one level.
     _, value, many = np.unique(frequency, return_inverse=True, return_counts=True)
     return ((np.cumsum(many) - many)[value] * 65536 // CELLS).astype(np.uint16)
@@ -384,14 +390,14 @@ def link_documents(docs: DataFrame, carry: tuple[str, ...] = (), block_shingles:
     first = stage(
         texts.mapInArrow(
             _signatures(carry),
-            f"{kinds}, n long, a long, b long, chunk long, task long, cells binary, counts binary",
+            f"{kinds}, n long, a long, b long, chunk long, task long, counts binary",
         ),
         "signatures",
     )
-    rows = first.where("n is not null").drop("chunk", "task", "cells", "counts")
+    rows = first.where("n is not null").drop("chunk", "task", "counts")
     classes = rows.where("n > 0").groupBy("a", "b").agg(F.min("doc_id").alias("low"), F.max("n").alias("n"))
 
-    counts = first.where("n is null").select("chunk", "task", "cells", "counts")
+    counts = first.where("n is null").select("chunk", "task", "counts")
     order = spark.sparkContext.broadcast(_levels(counts))
     postings = stage(texts.select("text").mapInArrow(_prefixes(order), "gram long, node long"), "postings")
     shared = postings.groupBy("gram").agg(F.min("node").alias("u"), F.max("node").alias("v")).where("u <> v")
