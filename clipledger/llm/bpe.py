@@ -18,16 +18,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clipledger.llm.support import encoding, rank_table, stage, text_or_empty
+from clipledger.llm.support import encoding, rank_table, text_or_empty
 
 #: A block ends once it holds so many characters.
-BLOCK_CHARS = 32_000_000
+BLOCK_CHARS = 12_000_000
 #: Distinct words of blocks that one encoding task gets, about.
 TASK_WORDS = 2_000_000
 #: Groups that the words of a block fall into at least; they are merged when there are few words.
 SLOTS = 16
 
-_BLOCK = "block long, doc_ids binary, lengths binary, codes binary, slot int, ranks binary, words binary, n_words long"
+# Rows of documents go by their block (from 0 up), rows of words by their slot (-1 and below).
+_ROUTED = "route long, block long, doc_ids binary, lengths binary, codes binary, ranks binary, words binary"
 
 
 def _pack(*arrays: np.ndarray) -> bytes:
@@ -98,18 +99,17 @@ def _blocks(pattern: str, block_chars: int, slots: int):
             listed = list(number)
             words = [listed[at].encode() for at in order]
             lengths = np.array([len(one) for one in codes], dtype="<u4")
-            table = [(block, _pack_keys(keys), _pack(lengths), _pack_codes(rank[flat]), None, None, None, None)]
-            slot = np.fromiter((_slot_of(word, slots) for word in words), dtype=np.int32, count=len(words))
+            table = [(block, block, _pack_keys(keys), _pack(lengths), _pack_codes(rank[flat]), None, None)]
+            slot = np.fromiter((_slot_of(word, slots) for word in words), dtype=np.int64, count=len(words))
             for which in np.unique(slot):
                 at = np.flatnonzero(slot == which)
                 table.append(
-                    (block, None, None, None, int(which), _pack_ascending(at), _pack_ragged([words[i] for i in at]), len(at))
+                    (-1 - int(which), block, None, None, None, _pack_ascending(at), _pack_ragged([words[i] for i in at]))
                 )
-            names = [part.split()[0] for part in _BLOCK.split(", ")]
-            types = [pa.int64(), *[pa.large_binary()] * 3, pa.int32(), pa.large_binary(), pa.large_binary(), pa.int64()]
-            types = [pa.binary() if kind == pa.large_binary() else kind for kind in types]
+            names = [part.split()[0] for part in _ROUTED.split(", ")]
+            kinds = [pa.int64(), pa.int64(), *[pa.binary()] * 5]
             return pa.RecordBatch.from_arrays(
-                [pa.array(list(column), type=kind) for column, kind in zip(zip(*table), types)], names=names
+                [pa.array(list(column), type=kind) for column, kind in zip(zip(*table), kinds)], names=names
             )
 
         keys, codes, number, chars = [], [], {}, 0
@@ -145,6 +145,8 @@ def _unpack_keys(packed: bytes) -> list[int | None]:
 
 def _encode_slot(path: str, pattern: str):
     def encode(table: pa.Table) -> pa.Table:
+        if table.column("route")[0].as_py() >= 0:
+            return pa.table({"block": pa.array([], pa.int64()), "ranks": pa.array([], pa.binary()), "ids": pa.array([], pa.binary())})
         piece = encoding(path, pattern)._encode_single_piece
         ids: dict[bytes, bytes] = {}
         out = []
@@ -170,18 +172,18 @@ def _encode_slot(path: str, pattern: str):
     return encode
 
 
-def _assemble(table: pa.Table) -> pa.Table:
+def _assemble(body: pa.Table, coded: pa.Table) -> pa.Table:
     """One block: the ids of its words by rank, then those of its documents by position."""
-    counts, flat, keys, lengths, codes = [], [], None, None, None
-    order = []
-    for row in table.to_pylist():
-        if row["ids"] is None:
-            keys, lengths, codes = _unpack_keys(row["doc_ids"]), np.frombuffer(row["lengths"], "<u4"), _unpack_codes(row["codes"])
-        else:
-            sizes, data = _unpack_ragged(row["ids"])
-            order.append(_unpack_ascending(row["ranks"]))
-            counts.append(sizes // 4)
-            flat.append(np.frombuffer(data, "<u4"))
+    if not body.num_rows or body.column("route")[0].as_py() < 0:
+        return pa.table({"doc_id": pa.array([], pa.int64()), "ids": pa.array([], pa.list_(pa.int32()))})
+    row = {name: body.column(name)[0].as_py() for name in ("doc_ids", "lengths", "codes")}
+    keys, lengths, codes = _unpack_keys(row["doc_ids"]), np.frombuffer(row["lengths"], "<u4"), _unpack_codes(row["codes"])
+    counts, flat, order = [], [], []
+    for ranks, ids in zip(coded.column("ranks").to_pylist(), coded.column("ids").to_pylist()):
+        sizes, data = _unpack_ragged(ids)
+        order.append(_unpack_ascending(ranks))
+        counts.append(sizes // 4)
+        flat.append(np.frombuffer(data, "<u4"))
     empty = np.empty(0, np.int64)
     order, counts = np.concatenate([empty, *order]).astype(np.int64), np.concatenate([empty, *counts])
     flat = np.concatenate([np.empty(0, np.uint32), *flat]).astype(np.uint32)
@@ -218,15 +220,12 @@ def encode(
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     slots = max(SLOTS, _expected_words(docs) // task_words)
-    blocks = stage(texts.mapInArrow(_blocks(pattern, block_chars, slots), _BLOCK), "bpe")
-    words = blocks.where("slot is not null").select("block", "slot", "ranks", "words")
-    coded = words.groupBy("slot").applyInArrow(
-        _encode_slot(path, pattern), "block long, ranks binary, ids binary"
-    )
-    bodies = blocks.where("slot is null").select("block", "doc_ids", "lengths", "codes")
+    # One exchange for documents and words, read twice as it is: every column goes to both readers.
+    routed = texts.mapInArrow(_blocks(pattern, block_chars, slots), _ROUTED).repartition("route")
+    coded = routed.groupBy("route").applyInArrow(_encode_slot(path, pattern), "block long, ranks binary, ids binary")
     return (
-        bodies.unionByName(coded, allowMissingColumns=True)
-        .groupBy("block")
+        routed.groupBy("route")
+        .cogroup(coded.withColumnRenamed("block", "route").groupBy("route"))
         .applyInArrow(_assemble, "doc_id long, ids array<int>")
     )
 
