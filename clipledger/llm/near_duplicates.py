@@ -212,37 +212,49 @@ def prefix_length(n: int) -> int:
 
 
 def _members(chosen):
-    """The whole sets of documents whose doc_id the filter holds (and of those without one)."""
+    """The whole texts of documents whose doc_id the filter holds (and of those without one); texts take less room than sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            cell = _filter_cells(ids)
-            held = (chosen.value[cell >> 3] >> (cell & 7).astype(np.uint8)) & 1 == 1
-            wanted = pa.array(held | batch.column("doc_id").is_null().to_numpy(zero_copy_only=False))
+            ids = batch.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False)
+            wanted = pa.array(_held(chosen.value, ids) | batch.column("doc_id").is_null().to_numpy(zero_copy_only=False))
             for part in pieces(batch.filter(wanted)):
                 sets = Sets(utf8_texts(part.column("text")))
-                grams = [sets.of(at).tobytes() for at in range(part.num_rows)]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(sets.a), pa.array(sets.b), pa.array(grams, pa.binary())],
-                    names=["doc_id", "a", "b", "grams"],
+                    [part.column("doc_id"), pa.array(sets.a), pa.array(sets.b), part.column("text")],
+                    names=["doc_id", "a", "b", "text"],
                 )
 
     return run
 
 
+def _held(bits: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    cell = _filter_cells(ids)
+    return (bits[cell >> 3] >> (cell & 7).astype(np.uint8)) & 1 == 1
+
+
+def _postings_of(grams):
+    """Postings whose gram the filter holds."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(_held(grams.value, batch.column("gram").to_numpy(zero_copy_only=False))))
+
+    return run
+
+
 def _filter_cells(ids: np.ndarray) -> np.ndarray:
     spread = ids.astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     return (spread >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
 
 
-def _filter_of(ids: DataFrame) -> np.ndarray:
-    """A bitmap of doc_ids, 2 MB for any number of them; each task packs its own, parts are combined by Spark."""
+def _filter_of(ids: DataFrame, name: str) -> np.ndarray:
+    """A bitmap of a column of longs, 2 MB for any number of them. A bit too many lets rows pass that a join drops; none is missing."""
     step = 1 << (FILTER_BITS - 3 - 6)
 
     def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cell = np.unique(_filter_cells(batch.column("doc_id").to_numpy(zero_copy_only=False)))
+            cell = np.unique(_filter_cells(batch.column(name).to_numpy(zero_copy_only=False)))
             yield pa.RecordBatch.from_arrays([pa.array(cell)], names=["cell"])
 
     def pack(table: pa.Table) -> pa.Table:
@@ -251,7 +263,7 @@ def _filter_of(ids: DataFrame) -> np.ndarray:
         packed = np.packbits(np.bincount(cell, minlength=8 * step) > 0, bitorder="little")
         return pa.table({"part": [part], "packed": pa.array([packed.tobytes()], type=pa.binary())})
 
-    found = ids.where("doc_id is not null").select("doc_id").mapInArrow(cells, "cell long").distinct()
+    found = ids.where(F.col(name).isNotNull()).select(name).mapInArrow(cells, "cell long").distinct()
     parts = (
         found.select((F.col("cell") / (8 * step)).cast("long").alias("part"), "cell")
         .groupBy("part")
@@ -320,9 +332,9 @@ def _runs(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 def _link(table: pa.Table) -> pa.Table:
     names = [f"{a}:{b}" for a, b in zip(table.column("a").to_pylist(), table.column("b").to_pylist())]
-    sets = {}
-    for name, grams in zip(names, table.column("grams").to_pylist()):
-        sets.setdefault(name, np.frombuffer(grams, np.uint64))
+    texts = dict(zip(names, utf8_texts(table.column("text"))))
+    made = Sets(list(texts.values()))
+    sets = {name: made.of(at) for at, name in enumerate(texts)}
     names = sorted(sets)
     found = search([sets[name] for name in names]) if len(names) > 1 else []
     return pa.table(
@@ -334,7 +346,7 @@ def _link(table: pa.Table) -> pa.Table:
 
 
 def _links(members: DataFrame, families: DataFrame) -> DataFrame:
-    """Links between classes of one family. ``members``: family, a, b, grams."""
+    """Links between classes of one family. ``members``: family, a, b, text."""
     blocks = families.where("blocks > 1").select("family", "blocks")
     placed = members.join(families, "family").withColumn("block", F.pmod(F.xxhash64("a", "b"), F.col("blocks")))
     # The first block meets every other one; a family of one block is a single task.
@@ -361,19 +373,19 @@ def _links(members: DataFrame, families: DataFrame) -> DataFrame:
     large = stage(large.join(main, "family").drop("node"), "large")
     rest = large.where("label <> main")
     wide = rest.groupBy("family").agg(
-        F.ceil(F.sum(F.octet_length("grams")) / (8 * BLOCK_SHINGLES)).cast("int").alias("parts")
+        F.ceil(F.sum(F.octet_length("text").cast("long")) / (6 * BLOCK_SHINGLES)).cast("int").alias("parts")
     )
     queries = rest.join(wide, "family").withColumn("part", F.pmod(F.xxhash64("b"), F.col("parts")))
     # As many copies as there are blocks of queries: one, unless most of a large family is unlike its rest.
     against = large.join(wide, "family").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     spread = queries.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    columns = ["family", "part", "block", "a", "b", "grams"]
+    columns = ["family", "part", "block", "a", "b", "text"]
     more = _in_tasks(spread.select(columns).unionByName(against.select(columns)), ["family", "part", "block"])
     return stage(links.unionByName(more), "links")
 
 
 def _in_tasks(rows: DataFrame, keys: list[str]) -> DataFrame:
-    return rows.select(*keys, "a", "b", "grams").groupBy(*keys).applyInArrow(_link, "u string, v string")
+    return rows.select(*keys, "a", "b", "text").groupBy(*keys).applyInArrow(_link, "u string, v string")
 
 
 def link_documents(docs: DataFrame, carry: tuple[str, ...] = (), block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
@@ -400,9 +412,14 @@ def link_documents(docs: DataFrame, carry: tuple[str, ...] = (), block_shingles:
     counts = first.where("n is null").select("chunk", "task", "counts")
     order = spark.sparkContext.broadcast(_levels(counts))
     postings = stage(texts.select("text").mapInArrow(_prefixes(order), "gram long, node long"), "postings")
-    shared = postings.groupBy("gram").agg(F.min("node").alias("u"), F.max("node").alias("v")).where("u <> v")
+    shared = stage(
+        postings.groupBy("gram").agg(F.min("node").alias("u"), F.max("node").alias("v")).where("u <> v").select("gram", "u"),
+        "shared",
+    )
+    listed = spark.sparkContext.broadcast(_filter_of(shared, "gram"))
+    met = postings.mapInArrow(_postings_of(listed), "gram long, node long")
     meets = stage(
-        postings.join(shared.select("gram", "u"), "gram").select("u", F.col("node").alias("v")).where("u <> v").distinct(),
+        met.join(shared, "gram").select("u", F.col("node").alias("v")).where("u <> v").distinct(),
         "meets",
     )
     family = connected(meets, "families")  # of 64-bit nodes: a collision only joins two families
@@ -414,10 +431,10 @@ def link_documents(docs: DataFrame, carry: tuple[str, ...] = (), block_shingles:
         "chosen",
     )
     families = chosen.groupBy("family").agg(F.ceil(F.sum("n") / block_shingles).cast("int").alias("blocks"))
-    wanted = spark.sparkContext.broadcast(_filter_of(chosen.select(F.col("low").alias("doc_id"))))
-    sets = texts.select("doc_id", "text").mapInArrow(_members(wanted), "doc_id long, a long, b long, grams binary")
+    wanted = spark.sparkContext.broadcast(_filter_of(chosen, "low"))
+    sets = texts.select("doc_id", "text").mapInArrow(_members(wanted), "doc_id long, a long, b long, text string")
     members = sets.withColumnRenamed("doc_id", "low_").join(chosen.drop("n"), ["a", "b"]).where("low_ <=> low")
-    links = _links(members.select("family", "a", "b", "grams"), families)
+    links = _links(members.select("family", "a", "b", "text"), families)
 
     labels = connected(links, "linked")
     node = F.concat_ws(":", "a", "b")
