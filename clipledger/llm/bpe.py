@@ -21,7 +21,9 @@ from pyspark.sql import functions as F
 from clipledger.llm.support import encoding, rank_table, text_or_empty
 
 #: A block ends once it holds so many characters.
-BLOCK_CHARS = 12_000_000
+BLOCK_CHARS = 8_000_000
+#: Ids that are decoded at a time.
+DECODE_IDS = 500_000
 #: Distinct words of blocks that one encoding task gets, about.
 TASK_WORDS = 2_000_000
 #: Groups that the words of a block fall into at least; they are merged when there are few words.
@@ -206,7 +208,10 @@ def _gather(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Indexes of the runs [start, start + count), one after the other."""
     ends = np.cumsum(counts)
     total = int(ends[-1]) if len(ends) else 0
-    return np.repeat(starts - (ends - counts), counts) + np.arange(total, dtype=np.int64)
+    kind = np.int64 if total >= 1 << 31 or (len(starts) and int(starts.max()) >= 1 << 31) else np.int32
+    at = np.repeat((starts - (ends - counts)).astype(kind), counts)
+    at += np.arange(total, dtype=kind)
+    return at
 
 
 def encode(
@@ -261,7 +266,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = token_bytes(path)
-        for batch in batches:
+        for batch in (part for whole in batches for part in _parts(whole)):
             flat, offsets = _lists(batch.column("ids"))
             data, ends = _decoded(flat, offsets, table)
             buffer = data.tobytes()
@@ -271,10 +276,20 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, bytes binary")
 
 
+def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Slices with about ``DECODE_IDS`` ids, or one longer list."""
+    sizes = batch.column("ids").value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    piece = np.cumsum(sizes) // DECODE_IDS
+    starts = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(starts, starts[1:]):
+        if b > a:
+            yield batch.slice(a, b - a)
+
+
 def _lists(column) -> tuple[np.ndarray, np.ndarray]:
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     sizes = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-    return column.flatten().to_numpy(zero_copy_only=False).astype(np.int64), np.concatenate([[0], np.cumsum(sizes)])
+    return column.flatten().to_numpy(zero_copy_only=False), np.concatenate([[0], np.cumsum(sizes)])
 
 
 def digests(encoded: DataFrame, path: str, keep_ids: bool = False) -> DataFrame:
@@ -286,7 +301,7 @@ def digests(encoded: DataFrame, path: str, keep_ids: bool = False) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = token_bytes(path)
         sha = hashlib.sha256
-        for batch in batches:
+        for batch in (part for whole in batches for part in _parts(whole)):
             flat, offsets = _lists(batch.column("ids"))
             ids, at = flat.astype("<u4").tobytes(), (4 * offsets).tolist()
             data, ends = _decoded(flat, offsets, table)
