@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clipledger.llm.components import connected
-from clipledger.llm.support import LOWER, Words, gram_hashes, mixed, pieces, stage, utf8_texts
+from clipledger.llm.support import LOWER, PIECE_BYTES, Words, gram_hashes, mixed, pieces, stage, utf8_texts
 
 SHINGLE = 5
 #: Cells that shingles are counted in to order them: so many for any corpus. They travel in chunks.
@@ -30,7 +30,7 @@ CHUNK = 1 << 14
 #: Tasks whose counts are added up in one group.
 TASKS_TOGETHER = 1000
 #: Shingles of a family that one task holds, about; larger families are searched in blocks.
-BLOCK_SHINGLES = 3_000_000
+BLOCK_SHINGLES = 800_000
 #: Bits of the filter for documents that are read again.
 FILTER_BITS = 24
 #: DivideSkip's weight of probing against merging.
@@ -284,8 +284,9 @@ def search(sets: list[np.ndarray]) -> list[tuple[int, int]]:
     by_size = sorted(range(len(sets)), key=lambda i: len(sets[i]))
     sizes = np.array([len(sets[i]) for i in by_size], dtype=np.int64)
     flat = np.concatenate([sets[i] for i in by_size])
-    owner = np.repeat(np.arange(len(by_size)), sizes)
+    owner = np.repeat(np.arange(len(by_size), dtype=np.int32), sizes)
     _, key = np.unique(flat, return_inverse=True)
+    key = key.astype(np.int32)
     # Inverted lists end to end; owners ascend within each.
     postings = owner[np.argsort(key, kind="stable")]
     length = np.bincount(key)
@@ -333,8 +334,18 @@ def _runs(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
 def _link(table: pa.Table) -> pa.Table:
     names = [f"{a}:{b}" for a, b in zip(table.column("a").to_pylist(), table.column("b").to_pylist())]
     texts = dict(zip(names, utf8_texts(table.column("text"))))
-    made = Sets(list(texts.values()))
-    sets = {name: made.of(at) for at, name in enumerate(texts)}
+    if len(texts) < 2:
+        return pa.table({"u": pa.array([], pa.string()), "v": pa.array([], pa.string())})
+    # A piece at a time: hashing needs more room than what is kept.
+    sets, keys, at = {}, list(texts), 0
+    while at < len(keys):
+        end, size = at, 0
+        while end < len(keys) and (end == at or size + len(texts[keys[end]]) <= PIECE_BYTES):
+            size += len(texts[keys[end]])
+            end += 1
+        made = Sets([texts[key] for key in keys[at:end]])
+        sets.update((key, made.of(k)) for k, key in enumerate(keys[at:end]))
+        at = end
     names = sorted(sets)
     found = search([sets[name] for name in names]) if len(names) > 1 else []
     return pa.table(
