@@ -185,27 +185,39 @@ def _levels(counts: DataFrame) -> np.ndarray:
 
 
 def _prefixes(order):
-    """The first shingles of every set in the global order, as (gram, node)."""
+    """The first shingles of every set in the global order, as (gram, node, band)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, level = Seen(), order.value
         for batch in batches:
             for part in pieces(batch):
                 sets = Sets(utf8_texts(part.column("text")))
-                grams, nodes = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+                grams, nodes, bands = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty(0, np.int32)]
                 for at in seen.new(sets):
                     one = sets.of(at)
                     first = prefix_length(len(one))
                     # Stable: equal levels stay in order of their hashes.
                     grams.append(one[np.argsort(level[_cells(one)], kind="stable")[:first]])
                     nodes.append(np.full(first, sets.a[at]))
+                    bands.append(np.full(first, size_band(len(one)), np.int32))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(grams).view(np.int64)), pa.array(np.concatenate(nodes))], names=["gram", "node"]
+                    [
+                        pa.array(np.concatenate(grams).view(np.int64)),
+                        pa.array(np.concatenate(nodes)),
+                        pa.array(np.concatenate(bands)),
+                    ],
+                    names=["gram", "node", "band"],
                 )
 
     return run
 
 
+def size_band(n: int) -> int:
+    """Sizes in bands: alike sets, the smaller at least 0.8 of the larger, lie in the same or in neighbouring ones."""
+    # The tiny step up keeps rounding from putting exact ratios two bands apart.
+    return int(math.log(n) / (math.log(1.25) * (1 + 1e-9)))
+
+
 def prefix_length(n: int) -> int:
     """So many of its first shingles in any common order: one of them is shared with every set that is alike."""
     return n - -(-4 * n // 5) + 1
@@ -422,15 +434,26 @@ def link_documents(docs: DataFrame, carry: tuple[str, ...] = (), block_shingles:
 
     counts = first.where("n is null").select("chunk", "task", "counts")
     order = spark.sparkContext.broadcast(_levels(counts))
-    postings = stage(texts.select("text").mapInArrow(_prefixes(order), "gram long, node long"), "postings")
+    postings = stage(texts.select("text").mapInArrow(_prefixes(order), "gram long, node long, band int"), "postings")
     shared = stage(
         postings.groupBy("gram").agg(F.min("node").alias("u"), F.max("node").alias("v")).where("u <> v").select("gram", "u"),
         "shared",
     )
     listed = spark.sparkContext.broadcast(_filter_of(shared, "gram"))
-    met = postings.mapInArrow(_postings_of(listed), "gram long, node long")
+    met = stage(
+        postings.mapInArrow(_postings_of(listed), "gram long, node long, band int").join(shared.select("gram"), "gram").distinct(),
+        "met",
+    )
+    # Within a list only sets of neighbouring size bands meet: each with the least one of its band, and these of
+    # neighbouring bands with each other.
+    least = met.groupBy("gram", "band").agg(F.min("node").alias("u"))
+    above = least.select("gram", (F.col("band") - 1).alias("band"), F.col("u").alias("v"))
     meets = stage(
-        met.join(shared, "gram").select("u", F.col("node").alias("v")).where("u <> v").distinct(),
+        met.join(least, ["gram", "band"])
+        .select("u", F.col("node").alias("v"))
+        .unionByName(least.join(above, ["gram", "band"]).select("u", "v"))
+        .where("u <> v")
+        .distinct(),
         "meets",
     )
     family = connected(meets, "families")  # of 64-bit nodes: a collision only joins two families
