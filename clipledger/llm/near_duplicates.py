@@ -468,7 +468,7 @@ def link_documents(docs: DataFrame, carry: tuple[str, ...] = (), block_shingles:
     wanted = spark.sparkContext.broadcast(_filter_of(chosen, "low"))
     sets = texts.select("doc_id", "text").mapInArrow(_members(wanted), "doc_id long, a long, b long, text string")
     members = sets.withColumnRenamed("doc_id", "low_").join(chosen.drop("n"), ["a", "b"]).where("low_ <=> low")
-    links = _links(members.select("family", "a", "b", "text"), families)
+    links = _links(stage(members.select("family", "a", "b", "text"), "members"), families)
 
     labels = connected(links, "linked")
     node = F.concat_ws(":", "a", "b")
