@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clipledger.llm.support import stage
+from clipledger.llm.support import discard, stage
 
 
 def connected(edges: DataFrame, name: str = "stars") -> DataFrame:
@@ -18,7 +18,8 @@ def connected(edges: DataFrame, name: str = "stars") -> DataFrame:
     now = stage(_small_star(_oriented(edges)), name)
     mark = _mark(now)
     while True:
-        now = stage(_small_star(_large_star(now)), name)
+        old, now = now, stage(_small_star(_large_star(now)), name)
+        discard(old)
         seen, mark = mark, _mark(now)
         if seen == mark:
             break

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clipledger.llm.components import connected
-from clipledger.llm.support import LOWER, PIECE_BYTES, Words, gram_hashes, mixed, pieces, stage, utf8_texts
+from clipledger.llm.support import LOWER, PIECE_BYTES, Words, discard, gram_hashes, mixed, pieces, stage, utf8_texts
 
 SHINGLE = 5
 #: Cells that shingles are counted in to order them: so many for any corpus. They travel in chunks.
@@ -444,6 +444,7 @@ def link_documents(docs: DataFrame, carry: tuple[str, ...] = (), block_shingles:
         postings.mapInArrow(_postings_of(listed), "gram long, node long, band int").join(shared.select("gram"), "gram").distinct(),
         "met",
     )
+    discard(postings, shared)
     # Within a list only sets of neighbouring size bands meet: each with the least one of its band, and these of
     # neighbouring bands with each other.
     least = met.groupBy("gram", "band").agg(F.min("node").alias("u"))
@@ -456,7 +457,9 @@ def link_documents(docs: DataFrame, carry: tuple[str, ...] = (), block_shingles:
         .distinct(),
         "meets",
     )
+    discard(met)
     family = connected(meets, "families")  # of 64-bit nodes: a collision only joins two families
+    discard(meets)
 
     chosen = stage(
         family.join(classes, family["node"] == classes["a"]).select(
@@ -468,7 +471,9 @@ def link_documents(docs: DataFrame, carry: tuple[str, ...] = (), block_shingles:
     wanted = spark.sparkContext.broadcast(_filter_of(chosen, "low"))
     sets = texts.select("doc_id", "text").mapInArrow(_members(wanted), "doc_id long, a long, b long, text string")
     members = sets.withColumnRenamed("doc_id", "low_").join(chosen.drop("n"), ["a", "b"]).where("low_ <=> low")
-    links = _links(stage(members.select("family", "a", "b", "text"), "members"), families)
+    members = stage(members.select("family", "a", "b", "text"), "members")
+    links = _links(members, families)
+    discard(members)
 
     labels = connected(links, "linked")
     node = F.concat_ws(":", "a", "b")

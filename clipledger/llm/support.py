@@ -14,21 +14,39 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clipledger.session import scratch_dir
+from clipledger.sources import files
 
 NAME_PREFIX = "__llm_"
+#: Whether Spark drops the shuffle files of a query once it has ended.
+_DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def stage(frame: DataFrame, name: str) -> DataFrame:
     """Write a table to the folder all executors share, and read it back.
 
-    Cuts the lineage: whatever is lost later is read again from the written table.
+    Cuts the lineage: whatever is lost later is read again from the written table, so the shuffles that led to it go at once.
     """
     spark = frame.sparkSession
     path = scratch_dir(spark, name)
-    frame.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(_DROP_SHUFFLES, None)
+    spark.conf.set(_DROP_SHUFFLES, "true")
+    try:
+        frame.write.option("compression", "zstd").parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_DROP_SHUFFLES)
+        else:
+            spark.conf.set(_DROP_SHUFFLES, before)
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def discard(*staged: DataFrame) -> None:
+    """Remove tables made by ``stage`` that no later step reads: what came of them has been staged itself."""
+    for frame in staged:
+        for folder in {path.rsplit("/", 1)[0] for path in frame.inputFiles()}:
+            files.remove(frame.sparkSession, folder)
+
+
 def hidden(name: str) -> str:
     """A column name that a caller's table won't hold."""
     return NAME_PREFIX + name
