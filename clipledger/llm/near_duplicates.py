@@ -382,25 +382,30 @@ def _links(members: DataFrame, families: DataFrame) -> DataFrame:
         return links
     # Whatever the first block did not connect to the main component of a large family is searched against
     # all of it, in blocks; pairs within the main component need no search.
-    node = F.concat_ws(":", "a", "b")
     labels = connected(links, "main")
-    large = (
-        placed.join(blocks.select("family"), "family", "left_semi")
-        .withColumn("node", node)
-        .join(labels, "node", "left")
-        .withColumn("label", F.coalesce("label", "node"))
+    # Labels go by keys alone; texts move only where a family has anything outside its main component.
+    keys = placed.join(blocks.select("family"), "family", "left_semi").select(
+        "family", "a", "b", F.concat_ws(":", "a", "b").alias("node"), F.octet_length("text").cast("long").alias("size")
+    )
+    labelled = stage(
+        keys.join(labels, "node", "left").select("family", "a", "b", "size", F.coalesce("label", "node").alias("label")),
+        "labelled",
     )
     main = (
-        large.groupBy("family", "label").agg(F.count("*").alias("n")).groupBy("family").agg(F.max_by("label", F.struct("n", "label")).alias("main"))
+        labelled.groupBy("family", "label")
+        .agg(F.count("*").alias("n"))
+        .groupBy("family")
+        .agg(F.max_by("label", F.struct("n", "label")).alias("main"))
     )
-    large = stage(large.join(main, "family").drop("node"), "large")
-    rest = large.where("label <> main")
-    wide = rest.groupBy("family").agg(
-        F.ceil(F.sum(F.octet_length("text").cast("long")) / (6 * BLOCK_SHINGLES)).cast("int").alias("parts")
+    rest = stage(labelled.join(main, "family").where("label <> main").select("family", "a", "b", "size"), "rest")
+    wide = rest.groupBy("family").agg(F.ceil(F.sum("size") / (6 * BLOCK_SHINGLES)).cast("int").alias("parts"))
+    queries = (
+        placed.join(rest.drop("size"), ["family", "a", "b"])
+        .join(wide, "family")
+        .withColumn("part", F.pmod(F.xxhash64("b"), F.col("parts")))
     )
-    queries = rest.join(wide, "family").withColumn("part", F.pmod(F.xxhash64("b"), F.col("parts")))
     # As many copies as there are blocks of queries: one, unless most of a large family is unlike its rest.
-    against = large.join(wide, "family").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    against = placed.join(wide, "family").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     spread = queries.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     columns = ["family", "part", "block", "a", "b", "text"]
     more = _in_tasks(spread.select(columns).unionByName(against.select(columns)), ["family", "part", "block"])
