@@ -35,3 +35,9 @@ def has_data(spark: SparkSession, pattern: str) -> bool:
 def remove(spark: SparkSession, path: str) -> None:
     fs, target = _file_system(spark, path)
     fs.delete(target, True)
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file, with the folders above it."""
+    fs, target = _file_system(spark, path)
+    fs.create(target, True).close()

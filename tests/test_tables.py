@@ -51,6 +51,31 @@ def test_versions(spark, tmp_path):
     assert state(spark, root) == wanted
 
 
+def test_any_tag_is_only_a_tag(spark, tmp_path):
+    root = str(tmp_path / "comments")
+    for tag, row in (("one", ("a", "x", 1, 1)), ("v", ("b", "x", 2, 1)), ("d", ("c", "x", 3, 1))):
+        tables.append_rows(spark, comments(spark, row), root, COMMENT_SCHEMA, tag)
+    assert state(spark, root) == {("a", "x", 1), ("b", "x", 2), ("c", "x", 3)}
+    for tag in ("", "a/b", "a*", "{a}"):
+        with pytest.raises(ValueError, match="tag"):
+            tables.append_rows(spark, comments(spark, ("a", "x", 1, 1)), root, COMMENT_SCHEMA, tag)
+
+
+def test_replay_after_clean_up(spark, tmp_path):
+    root = str(tmp_path / "comments")
+
+    def add(tag, like_count):
+        rows = comments(spark, ("a", "x", like_count, 1)).withColumn("collected_at", F.lit(None).cast("timestamp"))
+        return tables.append_rows(spark, rows, root, COMMENT_SCHEMA, tag).count()
+
+    add("old", 1)
+    add("new", 2)
+    tables.compact(spark, root, COMMENT_SCHEMA, COMMENT_KEY)
+    assert tables.drop_superseded(spark, root, keep=1) == 2
+    assert add("old", 1) == 0
+    assert state(spark, root) == {("a", "x", 2)}
+
+
 def test_unfinished_versions_do_not_count(spark, tmp_path):
     root = str(tmp_path / "comments")
     assert tables.snapshot_sink(spark, comments(spark, ("a", "x", 1, 1)), root, COMMENT_SCHEMA) == 1
