@@ -231,7 +231,7 @@ CASES: dict[str, Case] = {
                "to_json(named_struct('message', '', 'error', html))", "concat(' ', html, ' ')",
                "concat('{\"code\":', page_id, '}')", "concat('[', page_id, ']')", "''"),
         S.error_message,
-        choose("page_id", "left(html, 200)", "left(html, 200)", "left(html, 200)",
+        choose("page_id", "html", "html", "html",
                "'{\"code\":' || page_id || '}'", "'[' || page_id || ']'", "''"),
         is_json=False,
     ),

@@ -135,8 +135,8 @@ def video_url(link: Column, handle: Column | None = None) -> Column:
     return F.when(text.startswith("http"), text).otherwise(built)
 
 
-def error_message(body: Column, payload: Column | None = None) -> Column:
-    """At most 200 characters of readable text from an error response.
+def error_message(body: Column, payload: Column | None = None, length: int | None = None) -> Column:
+    """Readable text from an error response: all of it, or its first ``length`` characters.
 
     An object answers with its message, its error, or its own JSON text. ``payload`` is the
     parsed body, for callers that have it already.
@@ -144,7 +144,7 @@ def error_message(body: Column, payload: Column | None = None) -> Column:
     parsed = F.try_parse_json(body) if payload is None else payload
     said = V.first_truthy(V.at(parsed, "message"), V.at(parsed, "error"))
     text = F.coalesce(V.to_text(said), V.to_text(parsed), strip(body), F.lit(""))
-    return F.left(text, F.lit(200))
+    return text if length is None else F.left(text, F.lit(length))
 
 
 def has_value(column: Column) -> Column:

@@ -109,19 +109,28 @@ def fields(value: Column) -> Column:
     return F.try_variant_get(value, "$", "map<string,variant>")
 
 
-def type_name(value: Column, preview: bool = False) -> Column:
+def _quoted(text: Column) -> Column:
+    """Text in single quotes, or in double ones if it holds single quotes only; backslash, tab and return escaped."""
+    escaped = F.replace(text, F.lit("\\"), F.lit("\\\\"))
+    escaped = F.replace(F.replace(escaped, F.lit("\t"), F.lit("\\t")), F.lit("\r"), F.lit("\\r"))
+    doubled = text.contains("'") & ~text.contains('"')
+    single = F.concat(F.lit("'"), F.replace(escaped, F.lit("'"), F.lit("\\'")), F.lit("'"))
+    return F.when(doubled, F.concat(F.lit('"'), escaped, F.lit('"'))).otherwise(single)
+
+
+def type_name(value: Column, preview: bool = False, length: int | None = None) -> Column:
     """Short type name of a JSON value: null, bool, int, float, str, list or dict.
 
-    With ``preview`` a string also shows its first 60 characters on one line.
+    With ``preview`` a string also shows its text in quotes on one line, or the first ``length`` characters of it.
     Whole numbers beyond 64 bits are stored as wide decimals and still count as int.
     """
     stored = F.schema_of_variant(value)
     text = to_text(value)
     string_name = F.lit("str")
     if preview:
-        shown = F.translate(F.left(text, F.lit(60)), "\n", " ")
+        shown = F.translate(text if length is None else F.left(text, F.lit(length)), "\n", " ")
         string_name = F.when(text == "", F.lit("str (empty)")).otherwise(
-            F.concat(F.lit("str ('"), shown, F.lit("')"))
+            F.concat(F.lit("str ("), _quoted(shown), F.lit(")"))
         )
     return (
         F.when(stored == "VOID", "null")

@@ -8,10 +8,6 @@ from pyspark.sql import functions as F
 from clipledger.functions import scalars as S
 from clipledger.functions import variants as V
 
-# How deep and how wide a document is followed.
-MAX_DEPTH = 4
-MAX_KEYS = 40
-
 # Where a profile response may keep its videos, and an item its id.
 LIST_KEYS = ("aweme_list", "videos", "itemList", "data", "items")
 VIDEO_ID_KEYS = ("aweme_id", "id", "video_id")
@@ -27,7 +23,7 @@ def _node(path: Column, value: Column, kind: Column, length: Column, is_open: Co
     )
 
 
-def _expanded(path: Column, value: Column, max_keys: int) -> Column:
+def _expanded(path: Column, value: Column, max_keys: int | None) -> Column:
     """What one open node becomes: settled rows, and nodes to follow one level further."""
     nothing, no_value = F.lit(None), F.lit(None).cast("variant")
     yes, no = F.lit(True), F.lit(False)
@@ -42,10 +38,13 @@ def _expanded(path: Column, value: Column, max_keys: int) -> Column:
 
     members = F.map_entries(V.fields(value))
     cut = _node(F.concat(path, F.lit(".…")), no_value, F.lit("more keys"), nothing, no)
-    of_dict = F.concat(
-        F.transform(F.slice(members, 1, max_keys), member),
-        F.filter(F.array(cut), lambda _: F.size(members) > max_keys),
-    )
+    if max_keys is None:
+        of_dict = F.transform(members, member)
+    else:
+        of_dict = F.concat(
+            F.transform(F.slice(members, 1, max_keys), member),
+            F.filter(F.array(cut), lambda _: F.size(members) > max_keys),
+        )
 
     listed = V.elements(value)
     itself = _node(path, no_value, F.lit("list"), F.size(listed), no)
@@ -59,18 +58,33 @@ def _expanded(path: Column, value: Column, max_keys: int) -> Column:
     return F.coalesce(of_dict, of_list, of_scalar)
 
 
+def _depth(value: Column) -> Column:
+    """How many brackets of a document are open at most, outside its texts."""
+    bare = F.regexp_replace(F.to_json(value), r'"(?:[^"\\]|\\.)*+"|[^\[\]{}]', "")
+    nothing = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
+
+    def step(seen: Column, bracket: Column) -> Column:
+        now = seen["now"] + F.when(bracket.isin("{", "["), 1).when(bracket.isin("}", "]"), -1).otherwise(0)
+        return F.struct(now.alias("now"), F.greatest(seen["most"], now).alias("most"))
+
+    return F.aggregate(F.split(bare, ""), nothing, step, lambda seen: seen["most"])
+
+
 def json_paths(
     documents: DataFrame,
     column: str = "raw",
-    max_depth: int = MAX_DEPTH,
-    max_keys: int = MAX_KEYS,
+    max_depth: int | None = None,
+    max_keys: int | None = None,
 ) -> DataFrame:
     """One row per path of each document: path, type, and the length of lists.
 
-    Objects are followed key by key (at most ``max_keys``, by name), lists into their first
-    element, both to ``max_depth``; anything deeper is "...". Each level is one explode of the
-    rows before it, so the documents are read once and nothing is shuffled.
+    Objects are followed key by key, lists into their first element. Given ``max_keys``, only so
+    many keys by name are followed; given ``max_depth``, anything deeper is "...". Otherwise the
+    depth comes from the documents, in one pass before. Each level is one explode of the rows
+    before it, and nothing is shuffled.
     """
+    if max_depth is None:
+        max_depth = documents.agg(F.max(_depth(F.col(column)))).first()[0] or 0
     root = _node(F.lit(""), F.col(column), F.lit("root"), F.lit(None), F.lit(True))
     nodes = documents.where(F.col(column).isNotNull()).select(root.alias("node"))
     node = F.col("node")
@@ -88,8 +102,8 @@ def json_paths(
 def json_shape_profile(
     documents: DataFrame,
     column: str = "raw",
-    max_depth: int = MAX_DEPTH,
-    max_keys: int = MAX_KEYS,
+    max_depth: int | None = None,
+    max_keys: int | None = None,
 ) -> DataFrame:
     """How often each path has each type, and the mean length of its lists."""
     return (

@@ -270,8 +270,8 @@ def payload_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     "CASE page_id % 7 WHEN 0 THEN 'ok' WHEN 1 THEN 'ok' WHEN 5 THEN 'transient' "
     "WHEN 6 THEN 'transient' ELSE 'terminal' END AS route, "
     "CASE WHEN page_id % 7 < 2 THEN NULL WHEN page_id % 7 = 2 THEN 'bad JSON' "
-    "WHEN page_id % 3 = 0 THEN left(url, 200) WHEN page_id % 3 = 1 THEN left(html, 200) "
-    "ELSE left('<' || html, 200) END AS message, "
+    "WHEN page_id % 3 = 0 THEN url WHEN page_id % 3 = 1 THEN html "
+    "ELSE '<' || html END AS message, "
     "CAST(CASE page_id % 7 WHEN 0 THEN 1 ELSE 0 END AS INTEGER) AS items FROM pages"
 )
 def response_routing(spark: SparkSession, sf_dir: str) -> DataFrame:

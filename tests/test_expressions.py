@@ -1,6 +1,7 @@
 """Hand-written edge cases per expression."""
 
 import hashlib
+import json
 from datetime import datetime
 
 import pytest
@@ -168,7 +169,9 @@ def test_error_message(evaluate):
     assert evaluate(
         S.error_message, '{"message":"m","error":"e"}', '{"message":"","error":"e"}',
         '{"code":5}', "{}", "[1]", '"quoted"', " plain text ", "x" * 300, "", None, is_json=False,
-    ) == ["m", "e", '{"code":5}', "{}", "[1]", "quoted", "plain text", "x" * 200, "", ""]
+    ) == ["m", "e", '{"code":5}', "{}", "[1]", "quoted", "plain text", "x" * 300, "", ""]
+    short = lambda v: S.error_message(v, length=200)
+    assert evaluate(short, "x" * 300, is_json=False) == ["x" * 200]
 
 
 def test_type_name(evaluate):
@@ -178,7 +181,10 @@ def test_type_name(evaluate):
     ]
     assert evaluate(
         lambda v: V.type_name(v, preview=True), '""', '"a\\nb"', f'"{"y" * 80}"'
-    ) == ["str (empty)", "str ('a b')", f"str ('{'y' * 60}')"]
+    ) == ["str (empty)", "str ('a b')", f"str ('{'y' * 80}')"]
+    assert evaluate(lambda v: V.type_name(v, True, 60), f'"{"y" * 80}"') == [f"str ('{'y' * 60}')"]
+    texts = ["it's", 'say "x"', "it's \"x\"", "a\tb", "a\\b"]
+    assert evaluate(lambda v: V.type_name(v, preview=True), *map(json.dumps, texts)) == [f"str ({t!r})" for t in texts]
 
 
 def test_utc_round_trip(spark):

@@ -5,9 +5,9 @@ from pyspark.sql import functions as F
 from clipledger.operators.profiling import first_video_link, json_paths, json_shape_profile
 
 
-def paths(spark, *documents):
+def paths(spark, *documents, **bounds):
     rows = spark.createDataFrame([(json.dumps(one),) for one in documents], "text string")
-    found = json_paths(rows.select(F.parse_json("text").alias("raw"))).collect()
+    found = json_paths(rows.select(F.parse_json("text").alias("raw")), **bounds).collect()
     return sorted((row.path, row.type, row.length) for row in found)
 
 
@@ -16,7 +16,7 @@ def test_paths(spark):
         "a": 1, "b": {"c": "x", "d": {}}, "e": [], "f": [{"g": None}, {"h": 1}], "i": [[1, 2], 3],
         "n": {"o": {"p": {"q": {"r": {"s": 1}, "t": []}}}},
     }
-    assert paths(spark, document) == [
+    assert paths(spark, document, max_depth=4) == [
         ("a", "int", None), ("b.c", "str", None), ("b.d", "dict", None), ("e", "list", None),
         ("f", "list", 2), ("f[0].g", "null", None), ("i", "list", 2), ("i[0]", "list", 2),
         ("i[0][0]", "int", None), ("n.o.p.q.r", "...", None), ("n.o.p.q.t", "list", None),
@@ -28,11 +28,22 @@ def test_roots_and_wide_objects(spark):
         ("", "int", None), ("", "list", 0), ("", "list", 1), ("", "list", 1), ("", "str", None),
         ("[0]", "list", 0),
     ]
-    wide = paths(spark, {f"k{n:02d}": n for n in range(45)})
+    wide = paths(spark, {f"k{n:02d}": n for n in range(45)}, max_keys=40)
     assert len(wide) == 41 and wide[0] == (".…", "more keys", None)
     assert [path for path, _, _ in wide[1:]] == [f"k{n:02d}" for n in range(40)]
 
 
+def test_nothing_is_left_out_by_default(spark):
+    wide = paths(spark, {f"k{n:03d}": n for n in range(100)})
+    assert [path for path, _, _ in wide] == [f"k{n:03d}" for n in range(100)]
+    deep = 1
+    for n in reversed(range(12)):
+        deep = {f"d{n}": deep, 'a"{[': "}]{{{{[[["}
+    found = paths(spark, deep, {"x": [[[{"y": 1}]]]})
+    assert (".".join(f"d{n}" for n in range(12)), "int", None) in found
+    assert ("x[0][0][0].y", "int", None) in found and all(kind != "..." for _, kind, _ in found)
+
+
 def test_profile(spark):
     rows = spark.createDataFrame([('{"a":[1,2]}',), ('{"a":[1]}',), ('{"a":5}',)], "text string")
     profile = json_shape_profile(rows.select(F.parse_json("text").alias("raw"))).collect()
