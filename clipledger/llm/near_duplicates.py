@@ -224,17 +224,23 @@ def prefix_length(n: int) -> int:
 
 
 def _members(chosen):
-    """The whole texts of documents whose doc_id the filter holds (and of those without one); texts take less room than sets."""
+    """The whole texts, compressed, of documents whose doc_id the filter holds (and of those without one).
+
+    They move several times, and take less room so than as sets or as plain texts.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = zstandard.ZstdCompressor(level=3)
         for batch in batches:
             ids = batch.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False)
             wanted = pa.array(_held(chosen.value, ids) | batch.column("doc_id").is_null().to_numpy(zero_copy_only=False))
             for part in pieces(batch.filter(wanted)):
-                sets = Sets(utf8_texts(part.column("text")))
+                texts = utf8_texts(part.column("text"))
+                sets = Sets(texts)
+                packed = pa.array([packer.compress(text or b"") for text in texts], pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(sets.a), pa.array(sets.b), part.column("text")],
-                    names=["doc_id", "a", "b", "text"],
+                    [part.column("doc_id"), pa.array(sets.a), pa.array(sets.b), packed],
+                    names=["doc_id", "a", "b", "packed"],
                 )
 
     return run
@@ -345,17 +351,19 @@ def _runs(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 def _link(table: pa.Table) -> pa.Table:
     names = [f"{a}:{b}" for a, b in zip(table.column("a").to_pylist(), table.column("b").to_pylist())]
-    texts = dict(zip(names, utf8_texts(table.column("text"))))
+    texts = dict(zip(names, table.column("packed").to_pylist()))
     if len(texts) < 2:
         return pa.table({"u": pa.array([], pa.string()), "v": pa.array([], pa.string())})
     # A piece at a time: hashing needs more room than what is kept.
     sets, keys, at = {}, list(texts), 0
+    unpacker = zstandard.ZstdDecompressor()
+    sizes = [zstandard.frame_content_size(texts[key]) for key in keys]
     while at < len(keys):
         end, size = at, 0
-        while end < len(keys) and (end == at or size + len(texts[keys[end]]) <= PIECE_BYTES):
-            size += len(texts[keys[end]])
+        while end < len(keys) and (end == at or size + sizes[end] <= PIECE_BYTES):
+            size += sizes[end]
             end += 1
-        made = Sets([texts[key] for key in keys[at:end]])
+        made = Sets([unpacker.decompress(texts[key]) for key in keys[at:end]])
         sets.update((key, made.of(k)) for k, key in enumerate(keys[at:end]))
         at = end
     names = sorted(sets)
@@ -369,7 +377,7 @@ def _link(table: pa.Table) -> pa.Table:
 
 
 def _links(members: DataFrame, families: DataFrame) -> DataFrame:
-    """Links between classes of one family. ``members``: family, a, b, text."""
+    """Links between classes of one family. ``members``: family, a, b, n (size of the set), packed (text)."""
     blocks = families.where("blocks > 1").select("family", "blocks")
     placed = members.join(families, "family").withColumn("block", F.pmod(F.xxhash64("a", "b"), F.col("blocks")))
     # The first block meets every other one; a family of one block is a single task.
@@ -385,7 +393,7 @@ def _links(members: DataFrame, families: DataFrame) -> DataFrame:
     labels = connected(links, "main")
     # Labels go by keys alone; texts move only where a family has anything outside its main component.
     keys = placed.join(blocks.select("family"), "family", "left_semi").select(
-        "family", "a", "b", F.concat_ws(":", "a", "b").alias("node"), F.octet_length("text").cast("long").alias("size")
+        "family", "a", "b", F.concat_ws(":", "a", "b").alias("node"), F.col("n").alias("size")
     )
     labelled = stage(
         keys.join(labels, "node", "left").select("family", "a", "b", "size", F.coalesce("label", "node").alias("label")),
@@ -398,7 +406,7 @@ def _links(members: DataFrame, families: DataFrame) -> DataFrame:
         .agg(F.max_by("label", F.struct("n", "label")).alias("main"))
     )
     rest = stage(labelled.join(main, "family").where("label <> main").select("family", "a", "b", "size"), "rest")
-    wide = rest.groupBy("family").agg(F.ceil(F.sum("size") / (6 * BLOCK_SHINGLES)).cast("int").alias("parts"))
+    wide = rest.groupBy("family").agg(F.ceil(F.sum("size") / BLOCK_SHINGLES).cast("int").alias("parts"))
     queries = (
         placed.join(rest.drop("size"), ["family", "a", "b"])
         .join(wide, "family")
@@ -407,13 +415,13 @@ def _links(members: DataFrame, families: DataFrame) -> DataFrame:
     # As many copies as there are blocks of queries: one, unless most of a large family is unlike its rest.
     against = placed.join(wide, "family").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     spread = queries.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    columns = ["family", "part", "block", "a", "b", "text"]
+    columns = ["family", "part", "block", "a", "b", "packed"]
     more = _in_tasks(spread.select(columns).unionByName(against.select(columns)), ["family", "part", "block"])
     return stage(links.unionByName(more), "links")
 
 
 def _in_tasks(rows: DataFrame, keys: list[str]) -> DataFrame:
-    return rows.select(*keys, "a", "b", "text").groupBy(*keys).applyInArrow(_link, "u string, v string")
+    return rows.select(*keys, "a", "b", "packed").groupBy(*keys).applyInArrow(_link, "u string, v string")
 
 
 def link_documents(docs: DataFrame, carry: tuple[str, ...] = (), block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
@@ -474,9 +482,9 @@ def link_documents(docs: DataFrame, carry: tuple[str, ...] = (), block_shingles:
     )
     families = chosen.groupBy("family").agg(F.ceil(F.sum("n") / block_shingles).cast("int").alias("blocks"))
     wanted = spark.sparkContext.broadcast(_filter_of(chosen, "low"))
-    sets = texts.select("doc_id", "text").mapInArrow(_members(wanted), "doc_id long, a long, b long, text string")
-    members = sets.withColumnRenamed("doc_id", "low_").join(chosen.drop("n"), ["a", "b"]).where("low_ <=> low")
-    members = stage(members.select("family", "a", "b", "text"), "members")
+    sets = texts.select("doc_id", "text").mapInArrow(_members(wanted), "doc_id long, a long, b long, packed binary")
+    members = sets.withColumnRenamed("doc_id", "low_").join(chosen, ["a", "b"]).where("low_ <=> low")
+    members = stage(members.select("family", "a", "b", "n", "packed"), "members")
     links = _links(members, families)
     discard(members)
 
