@@ -376,23 +376,26 @@ def _link(table: pa.Table) -> pa.Table:
     )
 
 
-def _links(members: DataFrame, families: DataFrame) -> DataFrame:
-    """Links between classes of one family. ``members``: family, a, b, n (size of the set), packed (text)."""
-    blocks = families.where("blocks > 1").select("family", "blocks")
-    placed = members.join(families, "family").withColumn("block", F.pmod(F.xxhash64("a", "b"), F.col("blocks")))
+def _links(members: DataFrame) -> DataFrame:
+    """Links between classes of one family.
+
+    ``members``: family, blocks (of the family), a, b, n (size of the set), packed (text).
+    """
+    placed = members.withColumn("block", F.pmod(F.xxhash64("a", "b"), F.col("blocks")))
+    large = placed.where("blocks > 1")
     # The first block meets every other one; a family of one block is a single task.
     tasks = placed.withColumn(
         "task",
         F.explode(F.when(F.col("block") == 0, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array("block"))),
     )
     links = stage(_in_tasks(tasks, ["family", "task"]), "links")
-    if blocks.isEmpty():
+    if large.isEmpty():
         return links
     # Whatever the first block did not connect to the main component of a large family is searched against
     # all of it, in blocks; pairs within the main component need no search.
     labels = connected(links, "main")
     # Labels go by keys alone; texts move only where a family has anything outside its main component.
-    keys = placed.join(blocks.select("family"), "family", "left_semi").select(
+    keys = large.select(
         "family", "a", "b", F.concat_ws(":", "a", "b").alias("node"), F.col("n").alias("size")
     )
     labelled = stage(
@@ -406,14 +409,15 @@ def _links(members: DataFrame, families: DataFrame) -> DataFrame:
         .agg(F.max_by("label", F.struct("n", "label")).alias("main"))
     )
     rest = stage(labelled.join(main, "family").where("label <> main").select("family", "a", "b", "size"), "rest")
-    wide = rest.groupBy("family").agg(F.ceil(F.sum("size") / BLOCK_SHINGLES).cast("int").alias("parts"))
+    # Stored, so that Spark knows its size before it plans: where it is small, texts aren't shuffled to meet it.
+    wide = stage(rest.groupBy("family").agg(F.ceil(F.sum("size") / BLOCK_SHINGLES).cast("int").alias("parts")), "wide")
     queries = (
-        placed.join(rest.drop("size"), ["family", "a", "b"])
+        large.join(rest.drop("size"), ["family", "a", "b"])
         .join(wide, "family")
         .withColumn("part", F.pmod(F.xxhash64("b"), F.col("parts")))
     )
     # As many copies as there are blocks of queries: one, unless most of a large family is unlike its rest.
-    against = placed.join(wide, "family").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    against = large.join(wide, "family").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     spread = queries.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     columns = ["family", "part", "block", "a", "b", "packed"]
     more = _in_tasks(spread.select(columns).unionByName(against.select(columns)), ["family", "part", "block"])
@@ -421,7 +425,12 @@ def _links(members: DataFrame, families: DataFrame) -> DataFrame:
 
 
 def _in_tasks(rows: DataFrame, keys: list[str]) -> DataFrame:
-    return rows.select(*keys, "a", "b", "packed").groupBy(*keys).applyInArrow(_link, "u string, v string")
+    # One key made of all: rows that were dealt by family alone for a join would else stay so, a whole family in one task.
+    return (
+        rows.select(F.struct(*keys).alias("cell"), "a", "b", "packed")
+        .groupBy("cell")
+        .applyInArrow(_link, "u string, v string")
+    )
 
 
 def link_documents(docs: DataFrame, carry: tuple[str, ...] = (), block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
@@ -483,9 +492,10 @@ def link_documents(docs: DataFrame, carry: tuple[str, ...] = (), block_shingles:
     families = chosen.groupBy("family").agg(F.ceil(F.sum("n") / block_shingles).cast("int").alias("blocks"))
     wanted = spark.sparkContext.broadcast(_filter_of(chosen, "low"))
     sets = texts.select("doc_id", "text").mapInArrow(_members(wanted), "doc_id long, a long, b long, packed binary")
-    members = sets.withColumnRenamed("doc_id", "low_").join(chosen, ["a", "b"]).where("low_ <=> low")
-    members = stage(members.select("family", "a", "b", "n", "packed"), "members")
-    links = _links(members, families)
+    sized = chosen.join(families, "family")
+    members = sets.withColumnRenamed("doc_id", "low_").join(sized, ["a", "b"]).where("low_ <=> low")
+    members = stage(members.select("family", "blocks", "a", "b", "n", "packed"), "members")
+    links = _links(members)
     discard(members)
 
     labels = connected(links, "linked")
