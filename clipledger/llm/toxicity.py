@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clipledger.llm.support import text_key, text_or_empty
+from clipledger.llm.support import stage, text_key, text_or_empty
 
 #: Labelled rows to learn from, at most: those with the smallest hash of doc_id.
 MAX_LABELLED = 200_000
@@ -182,7 +182,8 @@ def learn(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED)
 
     Without toxic labels the lexicon is empty and every score is the smoothed share of toxic labels.
     """
-    train = training_rows(docs, labels, max_labelled)
+    # Bounded by max_labelled; read four times below.
+    train = stage(training_rows(docs, labels, max_labelled), "labelled")
     sizes = {row["toxic"]: row["n"] for row in train.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
     lexicon = Lexicon(slope=0.0, intercept=float(np.log((toxic + 1) / (clean + 1))))
