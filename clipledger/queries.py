@@ -327,6 +327,22 @@ def reply_expand_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _item_columns(expanded, "is_reply", "thread_id")
 
 
+# The same building blocks with bounds that no group can reach: everything that landed.
+_ALL = 9223372036854775807
+_ALL_THREADS = X.THREADS.format(tops=_ALL, replies=_ALL)
+
+
+@register(
+    f"{X.with_parts(X.COMMENTS, _ALL_THREADS)} SELECT {_ITEM}, CAST(is_reply AS INTEGER) AS is_reply, "
+    "coalesce(parent, '') AS thread_id FROM thread_items"
+)
+def reply_expand_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tops = P.page_items(P.page_stitch(_usable_pages(R.thread_comment_pages(spark, sf_dir))))
+    kept = P.first_seen(tops, COMMENTS.id_keys)
+    expanded = reply_expand(kept, _usable_pages(R.reply_pages(spark, sf_dir)))
+    return _item_columns(expanded, "is_reply", "thread_id")
+
+
 # -- upsert and reports ---------------------------------------------------------------------------
 @register(
     f"{X.with_parts(X.COMMENTS, X.LATEST)} SELECT {X.COMMENT_COLUMNS} FROM comments_now"
@@ -559,6 +575,16 @@ _SWEEP = X.with_parts(
     _SWEPT_COMMENTS,
 )
 
+_SWEEP_ALL = X.with_parts(
+    X.VIDEOS,
+    X.COMMENTS,
+    X.PAGED,
+    X.SEEN,
+    X.TAKEN.format(count=_ALL),
+    _LANDED_VIDEOS.format(count=_ALL),
+    _SWEPT_COMMENTS,
+)
+
 _SUMMARY = (
     "SELECT v.client, v.video_id, v.caption, v.overlay_text IS NOT NULL AS overlay_text_present, "
     "false AS transcript_present, v.comment_count AS reported_comment_count, "
@@ -582,6 +608,13 @@ def ingest_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register(f"{_SWEEP_ALL} {_SUMMARY.format(videos='swept_videos', comments='swept_comments')}")
+def ingest_sweep_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every video of every creator with all its comments; the summary of the run."""
+    landed = R.profile_pages(spark, sf_dir).unionByName(R.comment_pages(spark, sf_dir))
+    return ingest.ingest_sweep(spark, from_envelopes(landed), scratch_dir(spark, "sweep_all"))
+
+
 _THREAD_INGEST = X.with_parts(X.VIDEOS, X.COMMENTS, _THREADS)
 _WANTED = "(SELECT * FROM videos WHERE landed)"
 _WANTED_ITEMS = (
@@ -607,6 +640,22 @@ def ingest_video(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_THREAD_INGEST_ALL = X.with_parts(X.VIDEOS, X.COMMENTS, _ALL_THREADS)
+
+
+@register(f"{_THREAD_INGEST_ALL} {_SUMMARY.format(videos=_WANTED, comments=_WANTED_ITEMS)}")
+def ingest_video_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every requested video with all its comments and replies; the summary of the run."""
+    landed = (
+        R.video_responses(spark, sf_dir)
+        .unionByName(R.thread_comment_pages(spark, sf_dir))
+        .unionByName(R.reply_pages(spark, sf_dir))
+    )
+    return ingest.ingest_video(
+        spark, from_envelopes(landed), scratch_dir(spark, "slice_all"), include_replies=True
+    )
+
+
 # The second crawl finds the same videos a day later, and 1000 likes more on a third of them.
 _LIKES = "bigint(l_quantity) + 1000"
 
@@ -621,25 +670,36 @@ def _second_crawl(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@register(
-    f"{_SWEEP} SELECT comment_id, video_id, client, text, parent_comment_id, author_hash, created_at, "
+_STREAMED = (
+    "SELECT comment_id, video_id, client, text, parent_comment_id, author_hash, created_at, "
     "reply_count, CASE WHEN k % 3 = 0 THEN like_count + 1000 ELSE like_count END AS like_count, "
     "CASE WHEN k % 3 = 0 THEN page_time + INTERVAL 1 DAY ELSE page_time END AS collected_at "
     "FROM swept_comments"
 )
-def ingest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two crawls landed as JSON files, picked up by the stream in two calls."""
-    base = scratch_dir(spark, "stream")
+
+
+def _stream(spark: SparkSession, sf_dir: str, name: str, **bounds: int) -> DataFrame:
+    base = scratch_dir(spark, name)
     landing, root, state = f"{base}/landing", f"{base}/tables", f"{base}/state"
     first = R.profile_pages(spark, sf_dir).unionByName(R.comment_pages(spark, sf_dir))
     for crawl in (first, _second_crawl(spark, sf_dir)):
         crawl.write.mode("append").json(landing, timestampFormat="yyyy-MM-dd'T'HH:mm:ss.SSSXXX")
-        ingest_incremental(
-            spark, landing, root, state, max_videos=VIDEO_BOUND, comment_count=TOP_BOUND
-        )
+        ingest_incremental(spark, landing, root, state, **bounds)
     return plain(ingest.current_comments(spark, root))
 
 
+@register(f"{_SWEEP} {_STREAMED}")
+def ingest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two crawls landed as JSON files, picked up by the stream in two calls."""
+    return _stream(spark, sf_dir, "stream", max_videos=VIDEO_BOUND, comment_count=TOP_BOUND)
+
+
+@register(f"{_SWEEP_ALL} {_STREAMED}")
+def ingest_stream_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same two crawls without bounds."""
+    return _stream(spark, sf_dir, "stream_all")
+
+
 # -- expressions ------------------------------------------------------------------------------------
 for _name, _case in CASES.items():
     _case_query = _case.query

@@ -1,0 +1,26 @@
+"""The unbounded queries keep what the bounded ones cut."""
+
+import duckdb
+
+from clipledger.queries import QUERIES, REPLY_BOUND, THREAD_BOUND, TOP_BOUND, VIDEO_BOUND
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def test_sweep_keeps_every_video(spark):
+    rows = QUERIES["ingest_sweep_all"](spark, SF_DIR).collect()
+    landed = duckdb.connect().execute(f"SELECT count(*) FROM '{SF_DIR}/orders.parquet'").fetchone()[0]
+    bounded = QUERIES["ingest_sweep"](spark, SF_DIR).collect()
+    assert len(bounded) < len(rows) <= landed
+    assert max(r.video_rows_total for r in rows) > VIDEO_BOUND >= max(r.video_rows_total for r in bounded)
+    assert max(r.comments_collected for r in rows) > TOP_BOUND >= max(r.comments_collected for r in bounded)
+
+
+def test_video_keeps_every_thread_and_reply(spark):
+    most = max(r.comments_collected for r in QUERIES["ingest_video_all"](spark, SF_DIR).collect())
+    assert most > THREAD_BOUND * (1 + REPLY_BOUND)
+
+
+def test_stream_keeps_what_the_sweep_keeps(spark):
+    swept = sum(r.comments_collected for r in QUERIES["ingest_sweep_all"](spark, SF_DIR).collect())
+    assert QUERIES["ingest_stream_all"](spark, SF_DIR).count() == swept
