@@ -27,10 +27,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of the 0.8 similarity join: the one with the least doc_id.
 
-    Rows are told apart by their place in the stored input, which is the same whenever it is read.
+    Rows are told apart by numbers that are stored with them: a second scan may be split otherwise, and number them anew.
     """
     row = hidden("row")
-    numbered = docs.withColumn(row, F.monotonically_increasing_id())
+    numbered = stage(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
     gone = near_duplicates.surplus(numbered, row)
     return numbered.join(gone, row, "left_anti").drop(row)
 

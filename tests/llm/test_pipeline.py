@@ -7,6 +7,7 @@ import tiktoken
 
 import __spark_entry__ as entry_points
 import corpus_pipeline as P
+from clipledger.llm import near_duplicates
 from clipledger.llm.queries import QUERIES, vocabulary
 from clipledger.llm.support import rank_table, tables
 from tests.llm import test_decontaminate, test_near_duplicates, test_secrets
@@ -55,6 +56,19 @@ def test_one_of_each_component_stays(stored):
     assert {r.doc_id for r in after} >= components
 
 
+def test_numbers_outlive_another_split_of_the_scan(spark):
+    docs = P.stage(tables(spark, SMALL, "documents").repartition(3), "unnumbered")
+    linked = near_duplicates.link_documents(docs)
+    wanted = linked.where("n_shingles > 0").select("component_id").distinct().count() + linked.where("n_shingles = 0").count()
+    out = P.drop_near_duplicates(spark, docs, SMALL)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        assert out.count() == wanted < docs.count()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_contaminated_ones_go(stored):
     before, after, _ = stored["benchmark_decontamination"]
     items = [(r[0], r[1]) for r in test_decontaminate.real_rows("benchmark")]
