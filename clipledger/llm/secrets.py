@@ -26,25 +26,27 @@ CANDIDATE = re.compile(r"[A-Za-z0-9+/_\-]{20,}={0,2}")
 # Hex lengths of MD5, SHA-1, SHA-224, SHA-256, SHA-384 and SHA-512.
 DIGEST = re.compile(r"(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128})", re.I)
 UUID = re.compile(r"[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}", re.I)
-#: How far before a run the start of its URL is looked for.
-LONGEST_URL = 2000
+#: What follows a scheme: user-info and host, then a path. Quotes, commas, brackets and blanks end a URL, a query ends its path.
+_ENDS = r"""\s"'`,<>()\[\]{}\\|^"""
+URL = re.compile(rf"://([^{_ENDS}/?#]*)([^{_ENDS}?#]*)")
 #: Characters a token must hold on average for a string to pass as language.
 MIN_CHARS_PER_TOKEN = 2.0
 
 
-def _known(run: str, text: str, start: int) -> bool:
-    """Digests and identifiers: not secrets, however random they look."""
-    kinds = sum(bool(re.search(kind, run)) for kind in ("[a-z]", "[A-Z]", "[0-9]"))
-    if kinds < 2 or not re.search("[0-9]", run):
-        return True  # plain words, constants and numbers
-    if DIGEST.fullmatch(run) or UUID.fullmatch(run):
-        return True
-    # Names built from words and short numbers, such as report_2024-05_final.
-    parts = re.split(r"[-_/+]", run.rstrip("="))
-    if len(parts) > 1 and all(re.fullmatch(r"[A-Za-z]*|[0-9]{1,8}", part) for part in parts):
-        return True
-    word = re.search(r"\S*$", text[max(0, start - LONGEST_URL) : start])[0]
-    return "://" in word  # a part of a URL
+def _known(run: str) -> bool:
+    """Digests and UUIDs: not secrets, however random they look."""
+    return bool(DIGEST.fullmatch(run) or UUID.fullmatch(run))
+
+
+def _outside_urls(text: str) -> Iterator[tuple[int, int]]:
+    """What is left of a text without the hosts and paths of its URLs; user-info and queries are left."""
+    at = 0
+    for m in URL.finditer(text):
+        yield at, m.start()
+        host = m.start(1) + m[1].rfind("@") + 1
+        yield m.start(1), host
+        at = m.end()
+    yield at, len(text)
 
 
 def find_spans(text: str, encode, min_chars_per_token: float = MIN_CHARS_PER_TOKEN) -> list[tuple[int, int, int]]:
@@ -56,12 +58,13 @@ def find_spans(text: str, encode, min_chars_per_token: float = MIN_CHARS_PER_TOK
     base += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text)]
     base += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
     found = list(base)
-    for m in CANDIDATE.finditer(text):
-        start, end, run = m.start(), m.end(), m[0]
-        if any(s < end and start < e for s, _, e in base) or _known(run, text, start):
-            continue
-        if len(run) < min_chars_per_token * len(encode(run)):
-            found.append((start, 3, end))
+    for since, to in _outside_urls(text):
+        for m in CANDIDATE.finditer(text, since, to):
+            start, end, run = m.start(), m.end(), m[0]
+            if any(s < end and start < e for s, _, e in base) or _known(run):
+                continue
+            if len(run) < min_chars_per_token * len(encode(run)):
+                found.append((start, 3, end))
     return sorted(found)
 
 
@@ -78,8 +81,8 @@ def secret_spans(
     """struct(n_assign, n_access, n_hex, n_token, base_sha256, spans) of a text; null counts as empty.
 
     The token-efficiency test: a long run of characters that needs a token for every
-    ``min_chars_per_token`` characters or fewer is taken for random, unless it is a digest, a UUID, a number, an identifier
-    of words, or part of a URL. Texts are read whole; an empty one has no spans.
+    ``min_chars_per_token`` characters or fewer is taken for random, unless it is a digest, a UUID, or in the host or
+    path of a URL. Texts are read whole; an empty one has no spans.
     """
 
     @F.pandas_udf("n_assign long, n_access long, n_hex long, n_token long, base_sha256 string, spans string")
