@@ -21,7 +21,7 @@ from clipledger.llm import (
     warc,
 )
 from clipledger.llm.expected import ORACLES
-from clipledger.llm.support import tables
+from clipledger.llm.support import stage, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -80,20 +80,12 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     Records whose page_id leaves 7 by 101 end in another character there; those that leave 3 by 211 are gone. The replica keeps
     the offsets of its index.
     """
-    pages = tables(spark, sf_dir, "pages")
-    left = warc.archive_index(pages)
-    damaged = pages.where("page_id % 101 = 7").select(
-        F.col("page_id").alias("record_id"),
-        F.sha2(
-            warc.record_bytes(F.col("url"), F.col("page_id"), F.concat(F.expr("left(html, length(html) - 1)"), F.lit("~"))), 256
-        ).alias("bad"),
-    )
-    right = (
-        left.where("record_id % 211 <> 3")
-        .join(damaged, "record_id", "left")
-        .select(F.lit("archive").alias("file"), "offset", "length", F.coalesce("bad", "leaf").alias("leaf"))
-    )
-    return warc.audit(left.withColumn("file", F.lit("archive")), right)
+    damaged = F.concat(F.expr("left(html, length(html) - 1)"), F.lit("~"))
+    body = F.when(F.expr("page_id % 101 = 7"), damaged).otherwise(F.col("html"))
+    index = stage(warc.archive_index(tables(spark, sf_dir, "pages"), body).withColumn("file", F.lit("archive")), "archive")
+    left = index.select("file", "offset", "length", "leaf")
+    right = index.where("NOT (record_id % 211 <=> 3)").select("file", "offset", "length", F.col("replica_leaf").alias("leaf"))
+    return warc.audit(left, right)
 
 
 QUERIES: dict[str, Query] = {

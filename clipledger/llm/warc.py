@@ -10,6 +10,7 @@ from __future__ import annotations
 import gzip
 import hashlib
 import io
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -22,6 +23,9 @@ from clipledger.llm.support import stage
 #: Bytes of the lowest ranges, and ranges to the next higher one.
 RANGE_BYTES = 1 << 16
 FANOUT = 16
+#: How a gzip member begins, and bytes of one that are unpacked at a time.
+GZIP = b"\x1f\x8b\x08"
+PART_BYTES = 1 << 16
 
 
 def record_bytes(uri: Column, record_id: Column, body: Column) -> Column:
@@ -40,21 +44,29 @@ def record_bytes(uri: Column, record_id: Column, body: Column) -> Column:
     ).cast("binary")
 
 
-def archive_index(pages: DataFrame) -> DataFrame:
-    """record_id, offset, length and leaf of every page as a record of one archive, in order of page_id."""
+def archive_index(pages: DataFrame, replica: Column | None = None) -> DataFrame:
+    """record_id, offset, length and leaf of every page as a record of one archive, in order of page_id.
+
+    With ``replica``, the html that a replica has of a page, also replica_leaf: that of the replica's record.
+    """
+    html = {"leaf": F.col("html")} | ({} if replica is None else {"replica_leaf": replica})
     records = pages.select(
         F.col("page_id").alias("record_id"),
-        record_bytes(F.col("url"), F.col("page_id"), F.col("html")).alias("_record"),
-    ).select("record_id", F.octet_length("_record").cast("long").alias("length"), F.sha2("_record", 256).alias("leaf"))
-    placed, _ = global_offsets(records, ["record_id", "leaf"], "length")
-    return placed.select("record_id", F.col("_offset").alias("offset"), "length", "leaf")
+        *(record_bytes(F.col("url"), F.col("page_id"), body).alias(name) for name, body in html.items()),
+    ).select(
+        "record_id",
+        F.octet_length("leaf").cast("long").alias("length"),
+        *(F.sha2(name, 256).alias(name) for name in html),
+    )
+    placed, _ = global_offsets(records, ["record_id", *html], "length")
+    return placed.select("record_id", F.col("_offset").alias("offset"), "length", *html)
 
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:
     """file, offset, length and leaf of every record in WARC files, plain or with a gzip member per record.
 
     Offsets and lengths are those in the file as stored, leaves of the record's bytes after decompression. A
-    file is read by one task. Bytes that are no record end a file with a row of what is left.
+    file is read by one task. Bytes that are no record, or a broken one, are a row up to where the next record begins.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -69,41 +81,65 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
 
 
 def record_spans(content: bytes) -> list[tuple[int, int, str]]:
-    if content[:2] == b"\x1f\x8b":
-        return _members(content)
+    """(offset, length, leaf) of every record or member; a broken one reaches to where the next begins."""
     out, at = [], 0
     while at < len(content):
-        end = _record_end(content, at)
-        out.append((at, end - at, hashlib.sha256(content[at:end]).hexdigest()))
-        at = end
+        found = _record(content, at) or _member(content, at)
+        if found is None:
+            end = _next_start(content, at + 1)
+            found = end, hashlib.sha256(content[at:end]).hexdigest()
+        out.append((at, found[0] - at, found[1]))
+        at = found[0]
     return out
 
 
-def _record_end(content: bytes, at: int) -> int:
+def _record(content: bytes, at: int) -> tuple[int, str] | None:
+    """End and leaf of the record that begins here; None if there is none, or if its length can't be right."""
     head = content.find(b"\r\n\r\n", at)
     if not content.startswith(b"WARC/", at) or head < 0:
-        return len(content)
+        return None
     for line in content[at:head].split(b"\r\n")[1:]:
         name, _, value = line.partition(b":")
         if name.strip().lower() == b"content-length" and value.strip().isdigit():
-            return min(len(content), head + 4 + int(value) + 4)
-    return len(content)
-
-
-def _members(content: bytes) -> list[tuple[int, int, str]]:
-    import zlib
-
-    out, at = [], 0
-    while at < len(content):
-        machine = zlib.decompressobj(31)
+            end = head + 4 + int(value) + 4
+            # Either the record is closed or the next one follows: one of both may be damaged.
+            if end <= len(content) and (content.endswith(b"\r\n\r\n", at, end) or content.startswith(b"WARC/", end)):
+                return end, hashlib.sha256(content[at:end]).hexdigest()
+            return None
+    return None
+
+
+def _member(content: bytes, at: int) -> tuple[int, str] | None:
+    """End of the gzip member that begins here, and the leaf of what it holds; None if it is broken."""
+    if not content.startswith(GZIP, at):
+        return None
+    machine, leaf = zlib.decompressobj(31), hashlib.sha256()
+    try:
+        while not machine.eof:
+            if at >= len(content):
+                return None
+            part = content[at : at + PART_BYTES]
+            leaf.update(machine.decompress(part))
+            at += len(part)
+    except zlib.error:
+        return None
+    return at - len(machine.unused_data), leaf.hexdigest()
+
+
+def _next_start(content: bytes, at: int) -> int:
+    """Where the next record begins, plain or as a gzip member; the end if there is none."""
+    plain = content.find(b"\r\n\r\nWARC/", at)
+    plain = len(content) if plain < 0 else plain + 4
+    at = content.find(GZIP, at, plain)
+    while at >= 0:
         try:
-            data = machine.decompress(content[at:]) + machine.flush()
-            length = len(content) - at - len(machine.unused_data)
+            # The magic bytes may turn up within packed data.
+            if zlib.decompressobj(31).decompress(content[at : at + PART_BYTES], 5) == b"WARC/":
+                return at
         except zlib.error:
-            data, length = content[at:], len(content) - at
-        out.append((at, length, hashlib.sha256(data).hexdigest()))
-        at += length
-    return out
+            pass
+        at = content.find(GZIP, at + 1, plain)
+    return plain
 
 
 def write_member(record: bytes) -> bytes:

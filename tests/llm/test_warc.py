@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from clipledger.llm import warc as W
+from clipledger.llm.queries import QUERIES
 from tests.llm.cases import real_rows
 
 INDEX = "file string, offset long, length long, leaf string"
@@ -93,3 +94,41 @@ def test_read_index(spark, tmp_path, packed):
     ends = [sum(map(len, stored[: k + 1])) for k in range(3)]
     assert mine == [(e - len(s), len(s), hashlib.sha256(r).hexdigest()) for e, s, r in zip(ends, stored, records)]
     assert len([r for r in found if r.file.endswith("b.warc")]) == 1 and not [r for r in found if r.file.endswith("c.warc")]
+
+
+@pytest.mark.parametrize("packed", [False, True])
+def test_a_broken_record_hides_no_other(packed):
+    rng = random.Random(6)
+    head = "WARC/1.1\r\nWARC-Type: resource\r\nContent-Length: "
+    records = []
+    for k in range(20):
+        body = "".join(rng.choice("abcdefgh \n") for _ in range(300 + k))
+        records.append(f"{head}{len(body)}\r\n\r\n{body}\r\n\r\n".encode())
+    stored = [W.write_member(record) if packed else record for record in records]
+    content = b"".join(stored)
+    whole = W.record_spans(content)
+    assert len(whole) == 20
+    starts = [at for at, _, _ in whole]
+    length_at = len(head)
+    for broken in (0, 7, 19):
+        for inside in (0, 1, 40, length_at, len(stored[broken]) - 2):
+            at = starts[broken] + inside
+            for new in (b"\x00", b"9"):
+                found = W.record_spans(content[:at] + new + content[at + 1 :])
+                assert [f for k, f in enumerate(found) if k != broken] == [w for k, w in enumerate(whole) if k != broken]
+                assert found[broken][:2] == whole[broken][:2]
+
+
+def test_op10_damages_rows_not_ids(spark, tmp_path):
+    """Rows with one id are damaged each, and a page without an id is not lost."""
+    rows = [(7, "u", "one"), (7, "u", "two"), (3, "u", "x"), (None, "u", "y"), (8, "u", "z")]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    found = QUERIES["op10_warc"](spark, str(tmp_path)).collect()
+    assert sorted(r.status for r in found) == ["corrupt", "corrupt", "missing"]
+    sha = lambda one: hashlib.sha256(one).hexdigest()
+    record = lambda k, body: (
+        f"WARC/1.1\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:page:{k}>\r\nWARC-Target-URI: u\r\n"
+        f"Content-Type: text/html\r\nContent-Length: {len(body)}\r\n\r\n{body}\r\n\r\n"
+    ).encode()
+    pairs = {(sha(record(7, "one")), sha(record(7, "on~"))), (sha(record(7, "two")), sha(record(7, "tw~")))}
+    assert {(r.left_leaf, r.right_leaf) for r in found if r.status == "corrupt"} == pairs
