@@ -13,6 +13,7 @@ from clipledger.llm import (
     decontaminate,
     near_duplicates,
     quality,
+    records,
     secrets,
     sharding,
     token_counts,
@@ -27,6 +28,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 #: The vocabulary: a rank file and the pattern that goes with it.
 VOCABULARY = "byte_bpe_50k.tiktoken"
+#: The id that ends every document of binary output.
+END_ID = 2
 
 
 def vocabulary() -> tuple[str, str]:
@@ -88,6 +91,11 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.audit(left, right)
 
 
+def op13_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = records.write_records(tables(spark, sf_dir, "documents"), records.word_vocabulary(), END_ID)
+    return records.record_report(index)
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -101,6 +109,7 @@ QUERIES: dict[str, Query] = {
         op8_near_duplicates,
         op9_token_counts,
         op10_warc,
+        op13_records,
     )
 }
 
