@@ -2,4 +2,30 @@
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+HARD_NEGATIVES = """
+WITH rows_in AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS vector
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+    CAST(list_inner_product(a.vector, c.vector) AS BIGINT) AS score
+  FROM rows_in a JOIN rows_in c ON a.vec_id <> c.vec_id
+  WHERE a.vec_id % 50 = 0
+),
+positives AS (
+  SELECT * FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, p.vec_id AS positive_id,
+  CAST(row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id) AS INTEGER) AS "rank",
+  n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same
+  AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id) <= 3
+"""
+
+ORACLES: dict[str, str] = {"op11_hard_negatives": HARD_NEGATIVES}

@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 from clipledger.llm import (
     bpe,
     decontaminate,
+    hard_negatives,
     near_duplicates,
     quality,
     records,
+    runs,
     secrets,
     sharding,
     token_counts,
@@ -91,6 +93,17 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.audit(left, right)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every 50th vector against all others; where vec_id is divisible by 7 the label moves on by one."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(tables(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, moved)
+
+
+def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.repeated_runs(tables(spark, sf_dir, "documents"), runs.planted, full=False)
+    return found.drop("n_words", "collapsed", "runs")
+
+
 def op13_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = records.write_records(tables(spark, sf_dir, "documents"), records.word_vocabulary(), END_ID)
     return records.record_report(index)
@@ -109,6 +122,8 @@ QUERIES: dict[str, Query] = {
         op8_near_duplicates,
         op9_token_counts,
         op10_warc,
+        op11_hard_negatives,
+        op12_runs,
         op13_records,
     )
 }

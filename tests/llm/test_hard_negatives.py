@@ -1,0 +1,162 @@
+import math
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from clipledger.llm import hard_negatives as H
+from clipledger.llm.expected import ORACLES
+from clipledger.llm.queries import QUERIES
+from tests.llm.cases import SMALL
+from tests.oracle import compare, connect
+
+SCHEMA = "vec_id long, embedding array<float>, label int, score int, vector string, class int, cell int"
+
+
+def model(rows, every=5, positives=5, negatives=3):
+    part = {
+        (key, label, tuple(math.floor(256 * x) for x in vector))
+        for key, vector, label in rows
+        if None not in (key, label, vector) and all(x is not None and math.isfinite(x) for x in vector)
+    }
+    out = []
+    for key, label, vector in part:
+        if key % every:
+            continue
+        scored = sorted((-sum(a * b for a, b in zip(vector, v)), k, lab) for k, lab, v in part if k != key)
+        own = [(k, -s) for s, k, lab in scored if lab == label][:positives]
+        for other, score in own:
+            fits = [(k, -s) for s, k, lab in scored if lab != label and 50 * score <= -100 * s <= 95 * score]
+            out += [(key, other, n + 1, k, score, s) for n, (k, s) in enumerate(fits[:negatives])]
+    return sorted(out)
+
+
+def mined(spark, rows, every=5, **more):
+    wide = [(k, v, lab, 1, "x", 2, 3) for k, v, lab in rows]
+    docs = spark.createDataFrame(wide, SCHEMA).repartition(3)
+    found = H.hard_negatives(docs, F.col("vec_id") % every == 0, F.col("label"), **more)
+    assert found.columns == ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"]
+    return sorted(tuple(r) for r in found.collect())
+
+
+def clustered(seed, count, width=6, clusters=5):
+    rng = random.Random(seed)
+    centres = [[rng.gauss(0, 1) for _ in range(width)] for _ in range(clusters)]
+    rows = []
+    for k in range(count):
+        centre = rng.choice(centres)
+        vector = [float(np.float32(c + rng.gauss(0, 0.3))) for c in centre]
+        rows.append((k, vector, rng.randrange(3)))
+    return rows
+
+
+@pytest.fixture
+def small_blocks(monkeypatch):
+    monkeypatch.setattr(H, "BLOCK_ROWS", 40)
+    monkeypatch.setattr(H, "SAMPLE_ROWS", 60)
+    monkeypatch.setattr(H, "PIVOTS", 7)
+    monkeypatch.setattr(H, "LEAF_ROWS", 4)
+    monkeypatch.setattr(H, "QUERIES_TOGETHER", 9)
+    monkeypatch.setattr(H, "ROUTED", 5)
+
+
+def test_like_the_model(spark, small_blocks):
+    rows = clustered(1, 400)
+    rng = random.Random(2)
+    # A vector that a third of all rows hold, under two labels; and rows that are there twice.
+    rows += [(1000 + k, [0.5, -0.25, 0.125, 1.0, 0.0, 0.0], k % 2) for k in range(200)]
+    rows += [rows[k] for k in rng.sample(range(600), 30)]
+    found = mined(spark, rows)
+    assert found == model(rows) and len(found) > 200
+
+
+def test_odd_rows(spark):
+    rows = clustered(3, 60) + [
+        (None, [1.0] * 6, 1),
+        (100, None, 1),
+        (105, [1.0, None, 1.0], 1),
+        (110, [float("nan")] * 6, 1),
+        (115, [float("inf")] + [0.0] * 5, 1),
+        (120, [0.0] * 6, 1),
+        (125, [], 2),
+        (130, [1.0, 2.0], 0),
+        (135, [-1.0] * 6, 0),
+        (140, [0.3] * 9, None),
+        (145, [0.3] * 9, 2),
+        (150, [3.0e4] * 6, 1),
+    ]
+    assert mined(spark, rows) == model(rows)
+
+
+def test_few_rows_of_a_label(spark):
+    rows = [(0, [1.0, 0.0], 0), (1, [0.9, 0.1], 0), (2, [0.7, 0.0], 1), (3, [0.5, 0.1], 1), (5, [0.5, 0.5], 7)]
+    assert mined(spark, rows) == model(rows) != []
+    assert mined(spark, rows, positives=1, negatives=1) == model(rows, positives=1, negatives=1)
+
+
+def test_no_rows(spark):
+    assert mined(spark, []) == []
+    assert mined(spark, [(1, [1.0], 1), (2, [1.0], 1)]) == []  # no anchor
+
+
+def test_nodes_cover_their_points():
+    rng = np.random.default_rng(4)
+    sphere = H.Sphere(40.0, 5)
+    whole = rng.integers(-9, 10, (500, 5)).astype(float)
+    whole[100:300] = whole[7]
+    points = sphere.candidates(whole)
+    order, nodes = H.cover_tree(points)
+    assert sorted(order) == list(range(500))
+    assert np.allclose(np.linalg.norm(points, axis=1), 1)
+    for centre, since, to, child, children, radius in nodes:
+        mine = order[int(since) : int(to)]
+        assert (H.angles(points[mine], points[int(centre)]) <= radius + 1e-6).all()
+        if children:
+            below = nodes[int(child) : int(child + children)]
+            assert below[0][1] == since and below[-1][2] == to and (below[:, 5] <= radius / H.RATIO + 1e-6).all()
+            leads = points[below[:, 0].astype(int)]
+            apart = np.arccos(np.clip(leads @ leads.T, -1, 1))[~np.eye(len(leads), dtype=bool)]
+            assert len(apart) == 0 or apart.min() > radius / H.RATIO - 1e-6
+    query = rng.integers(-9, 10, (1, 5)).astype(float)
+    directions, reach = sphere.queries(query)
+    for centre, since, to, *_, radius in nodes:
+        low, high = H.bounds(H.angles(points[int(centre)][None], directions[0]), np.array([radius]), reach[0])
+        scores = whole[order[int(since) : int(to)]] @ query[0]
+        assert low[0] <= scores.min() and scores.max() <= high[0]
+
+
+def test_descent_skips_what_lies_outside():
+    """On clustered rows few leaves are opened."""
+    rng = np.random.default_rng(6)
+    centres = rng.normal(0, 50, (20, 8))
+    whole = np.floor(centres[rng.integers(0, 20, 4000)] + rng.normal(0, 2, (4000, 8)))
+    sphere = H.Sphere(float(np.linalg.norm(whole, axis=1).max()), 8)
+    order, nodes = H.cover_tree(sphere.candidates(whole))
+    vectors = [row.astype("<i8").tobytes() for row in whole]
+    block = H.Block(
+        order.astype(np.int64), np.zeros(4000, np.int64), [vectors[k] for k in order], nodes, [vectors[int(k)] for k in nodes[:, 0]], sphere
+    )
+    opened = []
+    real = H.products
+    try:
+        H.products = lambda rows, *more: opened.append(len(rows)) or real(rows, *more)
+        directions, reach = sphere.queries(whole[:1])
+        top = block.best(whole[0], directions[0], reach[0], 0, 6, -(1 << 63))
+    finally:
+        H.products = real
+    scores = whole @ whole[0]
+    assert sorted(top, reverse=True)[0][0] == scores.max() and sum(opened) < 1500
+    assert sorted(s for s, _ in top) == sorted(scores)[-6:]
+
+
+def test_scores_beyond_doubles():
+    rows = H.matrix([np.array([1 << 40, 3], "<i8").tobytes(), np.array([-(1 << 62), 1], "<i8").tobytes()])
+    assert rows.dtype == object
+    query = np.array([1 << 20, 1], object)
+    assert H.products(rows, query, False).tolist() == [(1 << 60) + 3, -(1 << 63)]
+
+
+def test_query(spark):
+    difference = compare(QUERIES["op11_hard_negatives"](spark, SMALL), connect(SMALL), ORACLES["op11_hard_negatives"])
+    assert difference is None, difference
