@@ -1,9 +1,10 @@
 """Token ids as length-delimited binary records, with an offset index beside them.
 
 A record is the frame that TFRecord readers know: the payload's length (64 bits), a masked CRC-32C of these eight bytes, the
-payload, a masked CRC-32C of the payload; all little-endian. The payload is a document's ids as unsigned 32-bit integers,
-the end id included. Files follow one another in order of doc_id. The index is a table of its own that names file, offset
-and length of every record, so that records can be read in any order.
+payload, a masked CRC-32C of the payload; all little-endian. The payload is a byte that gives the width of an id, 2 or 4 bytes as
+the vocabulary needs, and the document's ids as unsigned integers of that width, the end id included. Files follow one another in
+order of doc_id. The index is a table of its own that names file, offset and length of every record, so that records can be read
+in any order.
 """
 
 from __future__ import annotations
@@ -30,6 +31,8 @@ RANGES_TOGETHER = 1024
 #: Chunks of text whose ids a worker remembers, in each of two generations, and characters of the longest one.
 REMEMBERED = 400_000
 LONGEST_CHUNK = 64
+#: New chunks that are encoded as one text.
+TOGETHER = 1000
 
 # CRC-32C: the reversed polynomial, and the constant that masks it in record files (fixed values).
 POLYNOMIAL = 0x82F63B78
@@ -117,7 +120,8 @@ def unframed(records: list[bytes]) -> list[bytes]:
 class Encoder:
     """Ids of whole texts by the tokenizers library, each different chunk between blanks only once while it is remembered.
 
-    White space separates words in this vocabulary's rules and leaves nothing behind, so a text's ids are those of its chunks in order.
+    White space separates words in this vocabulary's rules and leaves nothing behind, so a text's ids are those of its chunks in
+    order. New chunks that are plain words are encoded many at a time: a token that ends a word shows where one ends.
     """
 
     def __init__(self, path: str):
@@ -125,32 +129,61 @@ class Encoder:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark deals the work out already
         self.tokenizer = Tokenizer.from_file(path)
+        self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        self.kind = f"<u{self.width}"
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ending = np.zeros(max(vocabulary.values()) + 1, bool)
+        if suffix:
+            self.ending[[number for token, number in vocabulary.items() if token.endswith(suffix)]] = True
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def _encoded(self, chunks: list[str]) -> list[bytes]:
+    def _alone(self, chunks: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)
-        return [np.array(one.ids, "<u4").tobytes() for one in found]
+        return [np.array(one.ids, self.kind).tobytes() for one in found]
+
+    def _together(self, chunks: list[str], words: list[int]) -> list[bytes]:
+        """``words``: how many words each chunk has at least. If there are no more in all, it has just so many."""
+        out: list[bytes] = []
+        for at in range(0, len(chunks), TOGETHER):
+            some, least = chunks[at : at + TOGETHER], np.cumsum(words[at : at + TOGETHER])
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, self.kind)
+            ends = np.flatnonzero(self.ending[ids]) + 1
+            if len(ends) != least[-1]:
+                out += self._alone(some)
+                continue
+            data, places = ids.tobytes(), (ends[least - 1] * self.width).tolist()
+            out += [data[a:b] for a, b in zip([0, *places], places)]
+        return out
+
+    def _learn(self, chunks: list[str]) -> None:
+        plain, words, others = [], [], []
+        for chunk in chunks:
+            if chunk.isalpha():
+                plain.append(chunk)
+                words.append(1)
+            elif chunk[:-1].isalpha() and chunk[-1] in ".,;:!?":
+                plain.append(chunk)
+                words.append(2)
+            else:
+                others.append(chunk)
+        self.young.update(zip(plain, self._together(plain, words)))
+        self.young.update(zip(others, self._alone(others)))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        split = [(text or "").split(" ") for text in texts]
-        long = {}
-        new = []
-        for chunk in set().union(*split):
+        """Ids of every text, ``width`` bytes each."""
+        split = [(text or "").replace("\n", " ").split(" ") for text in texts]
+        unknown = set().union(*split).difference(self.young)
+        known = unknown.intersection(self.old)
+        self.young.update((chunk, self.old[chunk]) for chunk in known)
+        self._learn(list(unknown - known))
+        out = [b"".join(map(self.young.__getitem__, chunks)) for chunks in split]
+        for chunk in unknown:
             if len(chunk) > LONGEST_CHUNK:
-                long[chunk] = b""
-            elif chunk not in self.young:
-                known = self.old.get(chunk)
-                if known is None:
-                    new.append(chunk)
-                else:
-                    self.young[chunk] = known
-        self.young.update(zip(new, self._encoded(new)))
-        long.update(zip(long, self._encoded(list(long))))
-        young = self.young
-        out = [b"".join([long[c] if len(c) > LONGEST_CHUNK else young[c] for c in chunks]) for chunks in split]
-        if len(young) > REMEMBERED:
-            self.old, self.young = young, {}
+                del self.young[chunk]
+        if len(self.young) > REMEMBERED:
+            self.old, self.young = self.young, {}
         return out
 
 
@@ -175,12 +208,13 @@ def _writer(folder: str, path: str, end_id: int, file_bytes: int):
         from pyspark import TaskContext
 
         number, attempt = TaskContext.get().partitionId(), uuid.uuid4().hex
-        ending = int(end_id).to_bytes(4, "little")
+        coder = encoder(path)
+        first, ending = bytes([coder.width]), int(end_id).to_bytes(coder.width, "little")
         system, base = _opened(folder)
         sink, name, at, before, count = None, "", 0, 0, 0
         for batch in batches:
             for part in pieces(batch):
-                payloads = [ids + ending for ids in encoder(path).encode(part.column("text").to_pylist())]
+                payloads = [first + ids + ending for ids in coder.encode(part.column("text").to_pylist())]
                 rows = []
                 for payload, record in zip(payloads, framed(payloads)):
                     if sink is None or at >= file_bytes:
@@ -191,9 +225,10 @@ def _writer(folder: str, path: str, end_id: int, file_bytes: int):
                         name, at, count = f"ids-{number:06d}-{count:04d}-{attempt}.rec", 0, count + 1
                         sink = system.open_output_stream(f"{base}/{name}")
                     sink.write(record)
-                    rows.append((f"{folder}/{name}", at, len(payload), len(payload) // 4, number, before))
+                    tokens = (len(payload) - 1) // coder.width
+                    rows.append((f"{folder}/{name}", at, len(payload), tokens, number, before))
                     at += len(record)
-                    before += len(payload) // 4
+                    before += tokens
                 columns = list(zip(*rows))
                 kinds = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64())
                 yield pa.RecordBatch.from_arrays(
@@ -273,8 +308,9 @@ def _reader(keep: list[str]):
                 cuts = [rows[k][1] - offset for k in places]
                 records = [data[at : at + HEADER + rows[k][2] + FOOTER] for at, k in zip(cuts, places)]
                 part = batch.take(pa.array(places, pa.int64()))
+                ids = [np.frombuffer(load, f"<u{load[0]}", offset=1).astype("<u4").tobytes() for load in unframed(records)]
                 yield pa.RecordBatch.from_arrays(
-                    [*(part.column(name) for name in keep), pa.array(unframed(records), pa.binary())],
+                    [*(part.column(name) for name in keep), pa.array(ids, pa.binary())],
                     names=[*keep, "ids"],
                 )
             if opened[1] is not None:
@@ -284,7 +320,7 @@ def _reader(keep: list[str]):
 
 
 def read_records(index: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The ``keep`` columns of index rows and ``ids``, the payload read from the files; every checksum is verified.
+    """The ``keep`` columns of index rows and ``ids``, unsigned 32-bit integers, read from the files; every checksum is verified.
 
     Rows may come in any order: those of a batch that lie side by side in a file are read at once. A damaged or cut
     record fails the job.
