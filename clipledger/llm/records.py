@@ -16,6 +16,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,8 +32,9 @@ RANGES_TOGETHER = 1024
 #: Chunks of text whose ids a worker remembers, in each of two generations, and characters of the longest one.
 REMEMBERED = 400_000
 LONGEST_CHUNK = 64
-#: New chunks that are encoded as one text.
+#: New chunks that are encoded as one text, and signs that are told from the letters before them.
 TOGETHER = 1000
+SIGNS = ".,;:!?*#$%&|"
 
 # CRC-32C: the reversed polynomial, and the constant that masks it in record files (fixed values).
 POLYNOMIAL = 0x82F63B78
@@ -143,48 +145,75 @@ class Encoder:
         found = self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)
         return [np.array(one.ids, self.kind).tobytes() for one in found]
 
-    def _together(self, chunks: list[str], words: list[int]) -> list[bytes]:
-        """``words``: how many words each chunk has at least. If there are no more in all, it has just so many."""
+    def _together(self, chunks: list[str]) -> list[bytes]:
+        """Chunks of letters, so each is one word at least. If there are no more in all, each is just one."""
         out: list[bytes] = []
         for at in range(0, len(chunks), TOGETHER):
-            some, least = chunks[at : at + TOGETHER], np.cumsum(words[at : at + TOGETHER])
+            some = chunks[at : at + TOGETHER]
             ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, self.kind)
             ends = np.flatnonzero(self.ending[ids]) + 1
-            if len(ends) != least[-1]:
+            if len(ends) != len(some):
                 out += self._alone(some)
                 continue
-            data, places = ids.tobytes(), (ends[least - 1] * self.width).tolist()
+            data, places = ids.tobytes(), (ends * self.width).tolist()
             out += [data[a:b] for a, b in zip([0, *places], places)]
         return out
 
-    def _learn(self, chunks: list[str]) -> None:
-        plain, words, others = [], [], []
+    def _learn(self, chunks: set[str]) -> None:
+        """Ids of chunks, from the generation before or from the library. Signs behind letters are words of their own."""
+        young, old = self.young, self.old
+        signed = []
+        wanted = set()
         for chunk in chunks:
-            if chunk.isalpha():
-                plain.append(chunk)
-                words.append(1)
-            elif chunk[:-1].isalpha() and chunk[-1] in ".,;:!?":
+            known = old.get(chunk)
+            if known is not None:
+                young[chunk] = known
+                continue
+            body = chunk.rstrip(SIGNS)
+            if len(body) < len(chunk) and body.isalpha():
+                signed.append((chunk, body, chunk[len(body) :]))
+                wanted.add(body)
+                wanted.add(chunk[len(body) :])
+            else:
+                wanted.add(chunk)
+        plain, others = [], []
+        for chunk in wanted.difference(young):
+            known = old.get(chunk)
+            if known is not None:
+                young[chunk] = known
+            elif chunk.isalpha():
                 plain.append(chunk)
-                words.append(2)
             else:
                 others.append(chunk)
-        self.young.update(zip(plain, self._together(plain, words)))
-        self.young.update(zip(others, self._alone(others)))
+        young.update(zip(plain, self._together(plain)))
+        young.update(zip(others, self._alone(others)))
+        young.update([(chunk, young[body] + young[sign]) for chunk, body, sign in signed])
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
+    def encode(self, texts: pa.Array) -> list[bytes]:
         """Ids of every text, ``width`` bytes each."""
-        split = [(text or "").replace("\n", " ").split(" ") for text in texts]
-        unknown = set().union(*split).difference(self.young)
-        known = unknown.intersection(self.old)
-        self.young.update((chunk, self.old[chunk]) for chunk in known)
-        self._learn(list(unknown - known))
-        out = [b"".join(map(self.young.__getitem__, chunks)) for chunks in split]
+        texts = pc.replace_substring(texts.fill_null(""), "\n", " ")
+        split = pc.split_pattern(texts, " ")
+        chunks = split.flatten().dictionary_encode()
+        different = chunks.dictionary.to_numpy(zero_copy_only=False).tolist()
+        unknown = set(different).difference(self.young)
+        self._learn(unknown)
+        parts = [self.young[chunk] for chunk in different]
         for chunk in unknown:
             if len(chunk) > LONGEST_CHUNK:
                 del self.young[chunk]
         if len(self.young) > REMEMBERED:
             self.old, self.young = self.young, {}
-        return out
+        # All ids in order: those of each chunk are copied from its part.
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts)) // self.width
+        starts = np.cumsum(sizes) - sizes
+        which = chunks.indices.to_numpy()
+        ends = np.cumsum(sizes[which])
+        shift = starts[which] - (ends - sizes[which])
+        total = int(ends[-1]) if len(ends) else 0
+        flat = np.frombuffer(b"".join(parts), self.kind)
+        ids = flat[np.repeat(shift, sizes[which]) + np.arange(total)].tobytes()
+        borders = np.concatenate([[0], ends])[split.offsets.to_numpy() - split.offsets[0].as_py()] * self.width
+        return [ids[a:b] for a, b in zip(borders.tolist(), borders[1:].tolist())]
 
 
 @lru_cache(maxsize=2)
@@ -214,7 +243,7 @@ def _writer(folder: str, path: str, end_id: int, file_bytes: int):
         sink, name, at, before, count = None, "", 0, 0, 0
         for batch in batches:
             for part in pieces(batch):
-                payloads = [first + ids + ending for ids in coder.encode(part.column("text").to_pylist())]
+                payloads = [first + ids + ending for ids in coder.encode(part.column("text"))]
                 rows = []
                 for payload, record in zip(payloads, framed(payloads)):
                     if sink is None or at >= file_bytes:
