@@ -5,10 +5,10 @@ from __future__ import annotations
 HARD_NEGATIVES = """
 WITH rows_in AS (
   SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
-    list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS vector
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS vector
   FROM embeddings
   WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ),
 scored AS (
   SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import Column
@@ -58,10 +60,15 @@ def find_spans(text: str, encode, min_chars_per_token: float = MIN_CHARS_PER_TOK
     base += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text)]
     base += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
     found = list(base)
+    # Of the base spans that begin before a run ends, the one that ends last tells whether any of them meets the run.
+    base.sort()
+    starts = [start for start, _, _ in base]
+    last = list(accumulate((end for _, _, end in base), max))
     for since, to in _outside_urls(text):
         for m in CANDIDATE.finditer(text, since, to):
             start, end, run = m.start(), m.end(), m[0]
-            if any(s < end and start < e for s, _, e in base) or _known(run):
+            before = bisect_left(starts, end)
+            if (before and last[before - 1] > start) or _known(run):
                 continue
             if len(run) < min_chars_per_token * len(encode(run)):
                 found.append((start, 3, end))

@@ -86,3 +86,35 @@ def test_redaction(spark):
 def test_empty(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert none.select(S.secret_spans(*vocabulary()).alias("x"), F.lit(1)).collect() == []
+
+
+def test_many_base_spans_in_one_text():
+    """A long dump takes time in proportion to its length; runs beside base spans are still judged one by one."""
+    import time
+
+    rng = random.Random(4)
+    runs = ["".join(rng.choices("0123456789abcdef", k=40)) for _ in range(20_000)]
+    text = " ".join(runs)
+    start = time.perf_counter()
+    found = S.find_spans(text, lambda run: [0])
+    assert time.perf_counter() - start < 2
+    assert [kind for _, kind, _ in found] == [2] * 20_000
+
+
+def test_overlaps_like_a_plain_search():
+    rng = random.Random(8)
+    parts = ["token=" + "Ab3" * 5, "0f" * 14, "AKIA" + "Q7" * 10, "Zx9" * 8, "Zx9" * 8 + "0f" * 13, "words here", "="]
+    for _ in range(200):
+        text = "".join(rng.choice(parts) + rng.choice(["", " ", ","]) for _ in range(12))
+        found = S.find_spans(text, lambda run: run)
+        base = [span for span in found if span[1] < 3]
+        for start, kind, end in found:
+            if kind == 3:
+                assert not any(s < end and start < e for s, _, e in base)
+        wanted = [
+            (m.start(), m.end())
+            for since, to in S._outside_urls(text)
+            for m in S.CANDIDATE.finditer(text, since, to)
+            if not any(s < m.end() and m.start() < e for s, _, e in base) and not S._known(m[0])
+        ]
+        assert [(start, end) for start, kind, end in found if kind == 3] == wanted
