@@ -9,7 +9,6 @@ cells, then nodes, whose bounds reach what it looks for, best first, and verifie
 
 from __future__ import annotations
 
-import heapq
 import math
 from collections.abc import Iterator
 
@@ -74,14 +73,16 @@ def most(rows: np.ndarray) -> float:
     return float(np.abs(rows).max()) if rows.size else 0.0
 
 
-def products(rows: np.ndarray, query: np.ndarray, exact: bool) -> np.ndarray:
-    """Inner products as 64-bit integers; beyond these the nearest one. ``exact``: doubles hold them without rounding."""
-    width = min(rows.shape[1], query.shape[0])
+def products(rows: np.ndarray, queries: np.ndarray, exact: bool) -> np.ndarray:
+    """Inner products (queries, rows) as 64-bit integers; beyond these the nearest one. ``exact``: doubles hold them without rounding."""
+    width = min(rows.shape[1], queries.shape[1])
     if exact:
-        return (rows[:, :width] @ query[:width]).astype(np.int64)
+        return (queries[:, :width] @ rows[:, :width].T).astype(np.int64)
     low, high = -(1 << 63), (1 << 63) - 1
-    whole = [sum(int(a) * int(b) for a, b in zip(row[:width], query[:width])) for row in rows]
-    return np.array([min(max(score, low), high) for score in whole], np.int64)
+    whole = [
+        [min(max(sum(int(a) * int(b) for a, b in zip(query[:width], row[:width])), low), high) for row in rows] for query in queries
+    ]
+    return np.array(whole, np.int64).reshape(len(queries), len(rows))
 
 
 class Sphere:
@@ -160,7 +161,12 @@ def cover_tree(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Block:
-    """Candidates of one block as a cover tree, in the tree's order."""
+    """Candidates of one block as a cover tree, in the tree's order.
+
+    A whole batch of queries goes down the tree level by level: a node is opened by the queries whose bounds it can still serve.
+    Of the leaves it reaches, each query then takes the one with the greatest bound first, and stops where no bound is left that
+    could improve what it has. Queries that take the same leaf at the same turn are verified by one product.
+    """
 
     def __init__(self, ids: np.ndarray, labels: np.ndarray, vectors: list[bytes], nodes: np.ndarray, centres: list[bytes], sphere: Sphere):
         self.ids, self.labels, self.rows = ids, labels, matrix(vectors)
@@ -169,66 +175,68 @@ class Block:
         self.centres = sphere.candidates(matrix(centres))
         self.most = most(self.rows)
 
-    def _exact(self, query: np.ndarray) -> bool:
-        return self.most * most(query) * max(len(query), 1) < EXACT
-
-    def descend(self, direction: np.ndarray, reach: float, wanted) -> Iterator[tuple[np.ndarray, int, int]]:
-        """Leaves (places from, to), the one with the greatest bound first, as long as ``wanted(low, high)`` holds for their nodes."""
-        low, high = bounds(angles(self.centres[:1], direction), self.radius[:1], reach)
-        heap = [(-high[0], 0, low[0])]
-        while heap:
-            high_, at, low_ = heapq.heappop(heap)
-            if not wanted(low_, -high_):
-                continue
-            if not self.children[at]:
-                yield int(self.since[at]), int(self.to[at])
-                continue
-            a, b = self.child[at], self.child[at] + self.children[at]
-            low, high = bounds(angles(self.centres[a:b], direction), self.radius[a:b], reach)
-            for k in range(b - a):
-                if wanted(low[k], high[k]):
-                    heapq.heappush(heap, (-high[k], a + k, low[k]))
-
-    def best(self, query, direction, reach, label: int, count: int, floor: int) -> list[tuple[int, int]]:
-        """(score, vec_id) of the first ``count`` rows of a label with scores of ``floor`` or more."""
-        top: list[tuple[int, int]] = []  # a heap of (score, -vec_id)
-        least, exact = [floor], self._exact(query)
-        for a, b in self.descend(direction, reach, lambda low, high: high >= least[0]):
-            mine = a + np.flatnonzero(self.labels[a:b] == label)
-            if len(mine):
-                _push(top, count, products(self.rows[mine], query, exact), self.ids[mine])
-                if len(top) == count:
-                    least[0] = max(floor, top[0][0])
-        return [(score, -key) for score, key in top if score >= floor]
-
-    def between(self, query, direction, reach, label: int, windows: list[tuple[int, int]], count: int) -> list[list[tuple[int, int]]]:
-        """For every window (least, greatest): (score, vec_id) of its first ``count`` rows of other labels."""
-        tops: list[list[tuple[int, int]]] = [[] for _ in windows]
-        least, greatest = (np.array(side, np.float64) for side in zip(*windows))
-        exact = self._exact(query)
-        for a, b in self.descend(direction, reach, lambda low, high: bool(((high >= least) & (low <= greatest)).any())):
-            mine = a + np.flatnonzero(self.labels[a:b] != label)
-            if not len(mine):
-                continue
-            scores = products(self.rows[mine], query, exact)
-            for k, (low, high) in enumerate(windows):
-                fits = (scores >= low) & (scores <= high)
-                if fits.any():
-                    _push(tops[k], count, scores[fits], self.ids[mine[fits]])
-                    if len(tops[k]) == count:
-                        least[k] = max(low, tops[k][0][0])
-        return [[(score, -key) for score, key in top] for top in tops]
-
-
-def _push(top: list[tuple[int, int]], count: int, scores: np.ndarray, ids: np.ndarray) -> None:
-    if len(scores) > count:
-        order = np.lexsort((ids, -scores))[:count]
-        scores, ids = scores[order], ids[order]
-    for entry in zip(scores.tolist(), (-ids).tolist()):
-        if len(top) < count:
-            heapq.heappush(top, entry)
-        elif entry > top[0]:
-            heapq.heapreplace(top, entry)
+    def _leaves(self, directions: np.ndarray, reach: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Leaves, and for each query its greatest possible score there; minus infinity where it need not look."""
+        leaves, tops = [], []
+        level, open_ = np.array([0]), np.ones((len(reach), 1), bool)
+        while len(level):
+            angle = np.arccos(np.clip(directions @ self.centres[level].T, -1, 1))
+            least, greatest = bounds(angle, self.radius[level], reach[:, None])
+            open_ &= (greatest >= low[:, None]) & (least <= high[:, None])
+            ends = self.children[level] == 0
+            leaves += level[ends].tolist()
+            tops.append(np.where(open_, greatest, -np.inf)[:, ends])
+            inner = np.flatnonzero(~ends & open_.any(axis=0))
+            count = self.children[level[inner]]
+            open_ = np.repeat(open_[:, inner], count, axis=1)
+            level = _ranges(self.child[level[inner]], count)
+        return np.array(leaves, int), np.concatenate(tops, axis=1)
+
+    def first(
+        self, queries: np.ndarray, directions: np.ndarray, reach: np.ndarray, labels: np.ndarray, low: np.ndarray, high: np.ndarray, same: bool, count: int
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Scores and vec_ids, (queries, count), of each query's first rows of its label (or of other ones, unless ``same``)
+        with scores from ``low`` to ``high``; and which of them are there."""
+        scores, ids = (np.zeros((len(queries), count), np.int64) for _ in range(2))
+        held = np.zeros((len(queries), count), bool)
+        exact = self.most * most(queries) * max(queries.shape[1], 1) < EXACT
+        least = low.astype(np.float64)
+        leaves, tops = self._leaves(directions, reach, least, high.astype(np.float64))
+        order = np.argsort(-tops, axis=1, kind="stable")
+        waiting = np.arange(len(queries))
+        for turn in range(len(leaves)):
+            bound = tops[waiting, order[waiting, turn]]
+            waiting = waiting[(bound >= least[waiting]) & (bound > -np.inf)]
+            if not len(waiting):
+                break
+            taken = order[waiting, turn]
+            by = np.argsort(taken, kind="stable")
+            cuts = np.flatnonzero(np.diff(taken[by])) + 1
+            for some in np.split(waiting[by], cuts):
+                leaf = leaves[order[some[0], turn]]
+                a, b = self.since[leaf], self.to[leaf]
+                found = products(self.rows[a:b], queries[some], exact)
+                fits = (self.labels[a:b][None, :] == labels[some][:, None]) == same
+                fits &= (found >= low[some][:, None]) & (found <= high[some][:, None])
+                hits = np.flatnonzero(fits.any(axis=1))
+                if len(hits):
+                    mine = some[hits]
+                    all_scores = np.concatenate([scores[mine], found[hits]], axis=1)
+                    all_ids = np.concatenate([ids[mine], np.broadcast_to(self.ids[a:b], (len(hits), b - a))], axis=1)
+                    all_held = np.concatenate([held[mine], fits[hits]], axis=1)
+                    # Rows that don't fit come last, then smaller scores, then greater ids.
+                    best = np.lexsort((all_ids, ~all_scores, ~all_held), axis=1)[:, :count]
+                    for kept, from_all in ((scores, all_scores), (ids, all_ids), (held, all_held)):
+                        kept[mine] = np.take_along_axis(from_all, best, axis=1)
+                    full = mine[held[mine, -1]]
+                    least[full] = np.maximum(low[full], scores[full, -1])
+        return scores, ids, held
+
+
+def _ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    ends = np.cumsum(counts)
+    total = int(ends[-1]) if len(ends) else 0
+    return np.repeat(starts - (ends - counts), counts) + np.arange(total)
 
 
 # -- the index ------------------------------------------------------------------------------------------
@@ -351,25 +359,29 @@ class Index:
                     else:
                         # As many rows of the label as are looked for reach this in the sample alone.
                         floors = [_floor(known[labels == label], row, count) for label, row in zip(own, rows)]
-                        asked = [[{"score": floor, "low": floor, "high": floor}] for floor in floors]
+                        asked = [[{"score": None, "low": floor, "high": (1 << 63) - 1}] for floor in floors]
                         opened = high >= np.array(floors, np.float64)[:, None]
-                    queries = [
-                        {"class": key, "label": label, "vector": vector, "windows": some}
-                        for key, label, vector, some in zip(ids, own, vectors, asked)
-                    ]
-                    out = [
-                        (int(numbers[c]), block, [queries[k] for k in np.flatnonzero(opened[:, c])])
-                        for c in range(len(cells))
-                        if opened[:, c].any()
-                        for block in range(cells[c][1][1])
-                    ]
+                    out = []
+                    for c in range(len(cells)):
+                        chosen = np.flatnonzero(opened[:, c]).tolist()
+                        if not chosen:
+                            continue
+                        spans = [(at, w) for at, k in enumerate(chosen) for w in asked[k]]
+                        pack = {
+                            "class": [ids[k] for k in chosen],
+                            "label": [own[k] for k in chosen],
+                            "vector": [vectors[k] for k in chosen],
+                            "owner": [at for at, _ in spans],
+                            **{name: [w[name] for _, w in spans] for name in ("score", "low", "high")},
+                        }
+                        out += [(int(numbers[c]), block, ids[chosen[0]], pack) for block in range(cells[c][1][1])]
                     if out:
                         yield pa.RecordBatch.from_arrays(
                             [
                                 pa.array([r[0] for r in out], pa.int32()),
                                 pa.array([r[1] for r in out], pa.int64()),
-                                pa.array([r[2][0]["class"] for r in out], pa.int64()),
-                                pa.array([r[2] for r in out], _QUERY),
+                                pa.array([r[2] for r in out], pa.int64()),
+                                pa.array([r[3] for r in out], _QUERIES),
                             ],
                             names=["cell", "block", "first", "queries"],
                         )
@@ -383,15 +395,15 @@ class Index:
         """
         n = queries.count()
         chunks = max(1, -(-n // QUERIES_TOGETHER))
-        routed = queries.mapInArrow(self._route(windows, count), "cell int, block long, first long, queries " + _QUERY_DDL)
+        routed = queries.mapInArrow(self._route(windows, count), "cell int, block long, first long, queries " + _QUERIES_DDL)
         # So many queries meet a block in a task; a block is read anew for the next ones.
         routed = routed.withColumn("chunk", F.expr(f"pmod(xxhash64(first), {chunks})").cast("int"))
         blocks = self.blocks.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
         sphere = self.sphere
 
         def run(left: pa.Table, right: pa.Table) -> pa.Table:
-            out: list[tuple[int, int | None, int, int]] = []
-            for block in left.to_pylist():
+            parts = []
+            for block in left.to_pylist():  # one
                 tree = Block(
                     np.frombuffer(block["ids"], "<i8"),
                     np.frombuffer(block["labels"], "<i8"),
@@ -402,20 +414,20 @@ class Index:
                 )
                 for pack in right.column("queries"):
                     asked = pack.as_py()
-                    rows = matrix([one["vector"] for one in asked])
+                    rows = matrix(asked["vector"])
                     directions, reach = sphere.queries(rows)
-                    for one, row, direction, far in zip(asked, rows, directions, reach.tolist()):
-                        if windows:
-                            spans = [(w["low"], w["high"]) for w in one["windows"]]
-                            for w, top in zip(one["windows"], tree.between(row, direction, far, one["label"], spans, count)):
-                                out += [(one["class"], w["score"], score, key) for score, key in top]
-                        else:
-                            floor = one["windows"][0]["low"]
-                            top = tree.best(row, direction, far, one["label"], count, floor)
-                            out += [(one["class"], None, score, key) for score, key in top]
-            columns = list(zip(*out)) or [()] * 4
+                    owner, labels, classes = (np.array(asked[name], np.int64) for name in ("owner", "label", "class"))
+                    low, high = (np.array(asked[name], np.int64) for name in ("low", "high"))
+                    scores, found, held = tree.first(
+                        rows[owner], directions[owner], reach[owner], labels[owner], low, high, not windows, count
+                    )
+                    at, place = np.nonzero(held)
+                    of_window = pa.array(asked["score"], pa.int64()).take(pa.array(at))
+                    parts.append((pa.array(classes[owner][at]), of_window, pa.array(scores[at, place]), pa.array(found[at, place])))
             names = ("class", "positive_score", "score", "vec_id")
-            return pa.table({name: pa.array(column, pa.int64()) for name, column in zip(names, columns)})
+            return pa.table(
+                {name: pa.concat_arrays([pa.array([], pa.int64()), *(part[k] for part in parts)]) for k, name in enumerate(names)}
+            )
 
         keys = ["cell", "block", "chunk"]
         found = (
@@ -431,16 +443,15 @@ def _floor(rows: np.ndarray, query: np.ndarray, count: int) -> int:
     """The ``count``-th greatest score, or the least integer if there are fewer."""
     if len(rows) < count:
         return -(1 << 63)
-    scores = products(rows, query, most(rows) * most(query) * max(len(query), 1) < EXACT)
+    scores = products(rows, query[None, :], most(rows) * most(query) * max(len(query), 1) < EXACT)[0]
     return int(np.partition(scores, len(scores) - count)[len(scores) - count])
 
 
 _NAMES = ["vec_id", "label", "vector", "norm"]
 BLOCK = "cell int, block long, ids binary, labels binary, vectors array<binary>, nodes binary, centres array<binary>"
-_WINDOW_DDL = "array<struct<score:long,low:long,high:long>>"
-_QUERY_DDL = f"array<struct<class:long,label:long,vector:binary,windows:{_WINDOW_DDL}>>"
-_WINDOW = pa.list_(pa.struct([(name, pa.int64()) for name in ("score", "low", "high")]))
-_QUERY = pa.list_(pa.struct([("class", pa.int64()), ("label", pa.int64()), ("vector", pa.binary()), ("windows", _WINDOW)]))
+_LONGS = ("class", "label", "owner", "score", "low", "high")
+_QUERIES_DDL = f"struct<{','.join(f'{name}:array<bigint>' for name in _LONGS)},vector:array<binary>>"
+_QUERIES = pa.struct([*((name, pa.list_(pa.int64())) for name in _LONGS), ("vector", pa.list_(pa.binary()))])
 
 
 def hard_negatives(

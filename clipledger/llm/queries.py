@@ -72,7 +72,7 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates.link_documents(tables(spark, sf_dir, "documents"))
+    return near_duplicates.link_documents(tables(spark, sf_dir, "documents"), counts=True)
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 import numpy as np
@@ -28,6 +29,8 @@ def stage(frame: DataFrame, name: str) -> DataFrame:
     """
     spark = frame.sparkSession
     path = scratch_dir(spark, name)
+    for made in _recording:
+        made.append(path)
     before = spark.conf.get(_DROP_SHUFFLES, None)
     spark.conf.set(_DROP_SHUFFLES, "true")
     try:
@@ -37,13 +40,31 @@ def stage(frame: DataFrame, name: str) -> DataFrame:
             spark.conf.unset(_DROP_SHUFFLES)
         else:
             spark.conf.set(_DROP_SHUFFLES, before)
-    return spark.read.schema(frame.schema).parquet(path)
+    stored = spark.read.schema(frame.schema).parquet(path)
+    stored.staged_at = path
+    return stored
+
+
+#: Lists that open ``recorded`` blocks keep of staged folders.
+_recording: list[list[str]] = []
+
+
+@contextmanager
+def recorded() -> Iterator[list[str]]:
+    """Notes the folders that ``stage`` writes meanwhile, so that they can be removed once nothing reads them."""
+    made: list[str] = []
+    _recording.append(made)
+    try:
+        yield made
+    finally:
+        _recording.remove(made)
 
 
 def discard(*staged: DataFrame) -> None:
     """Remove tables made by ``stage`` that no later step reads: what came of them has been staged itself."""
     for frame in staged:
-        for folder in {path.rsplit("/", 1)[0] for path in frame.inputFiles()}:
+        at = vars(frame).get("staged_at")
+        for folder in [at] if at else {path.rsplit("/", 1)[0] for path in frame.inputFiles()}:
             files.remove(frame.sparkSession, folder)
 
 
@@ -90,6 +111,8 @@ LOWER = bytes(b + 32 if 65 <= b <= 90 else 32 if 9 <= b <= 13 else b for b in ra
 
 #: Bytes of text that are hashed at a time; a longer text makes a larger piece.
 PIECE_BYTES = 1 << 21
+#: Bytes of a word beyond which it has a hash of its own kind.
+LONG_WORD = 64
 _STEP = 0x9E3779B97F4A7C15 & ~7 | 5  # 5 modulo 8: its powers differ in as many bits as can be
 _BACK = pow(_STEP, -1, 1 << 64)
 # A value per byte, none for blanks.
@@ -132,6 +155,9 @@ class Words:
         sums = np.zeros(len(codes) + 1, np.uint64)
         np.cumsum(_BYTE_VALUES[codes] * _POWERS.up[: len(codes)], out=sums[1:])
         self.hashes = mixed((sums[self.ends] - sums[self.starts]) * _POWERS.down[self.starts])
+        # Sums of so many powers modulo 2 ** 64 can be made to agree; long words are hashed one by one.
+        for at in np.flatnonzero(self.ends - self.starts > LONG_WORD).tolist():
+            self.hashes[at] = xxhash.xxh3_64_intdigest(self.data[self.starts[at] : self.ends[at]], seed=29)
         sizes = np.array([len(text or b"") + 1 for text in texts], dtype=np.int64)
         borders = np.cumsum(sizes)
         self.to = np.searchsorted(self.starts, borders)

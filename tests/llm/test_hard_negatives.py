@@ -67,6 +67,7 @@ def test_like_the_model(spark, small_blocks):
     # A vector that a third of all rows hold, under two labels; and rows that are there twice.
     rows += [(1000 + k, [0.5, -0.25, 0.125, 1.0, 0.0, 0.0], k % 2) for k in range(200)]
     rows += [rows[k] for k in rng.sample(range(600), 30)]
+    rows += [(-5 * k, vector, label) for k, vector, label in clustered(8, 12)]
     found = mined(spark, rows)
     assert found == model(rows) and len(found) > 200
 
@@ -142,19 +143,20 @@ def test_descent_skips_what_lies_outside():
     try:
         H.products = lambda rows, *more: opened.append(len(rows)) or real(rows, *more)
         directions, reach = sphere.queries(whole[:1])
-        top = block.best(whole[0], directions[0], reach[0], 0, 6, -(1 << 63))
+        open_ends = np.array([-(1 << 63)]), np.array([(1 << 63) - 1])
+        top, ids, _ = block.first(whole[:1], directions, reach, np.array([0]), *open_ends, True, 6)
     finally:
         H.products = real
     scores = whole @ whole[0]
-    assert sorted(top, reverse=True)[0][0] == scores.max() and sum(opened) < 1500
-    assert sorted(s for s, _ in top) == sorted(scores)[-6:]
+    assert sum(opened) < 1500
+    assert top[0].tolist() == sorted(scores, reverse=True)[:6] == [scores[k] for k in ids[0]]
 
 
 def test_scores_beyond_doubles():
     rows = H.matrix([np.array([1 << 40, 3], "<i8").tobytes(), np.array([-(1 << 62), 1], "<i8").tobytes()])
     assert rows.dtype == object
-    query = np.array([1 << 20, 1], object)
-    assert H.products(rows, query, False).tolist() == [(1 << 60) + 3, -(1 << 63)]
+    query = np.array([[1 << 20, 1]], object)
+    assert H.products(rows, query, False).tolist() == [[(1 << 60) + 3, -(1 << 63)]]
 
 
 def test_query(spark):

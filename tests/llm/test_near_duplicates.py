@@ -47,6 +47,68 @@ def variants(seed, count=24, words=60):
     return out
 
 
+def links_of(rows):
+    """For every row, how many other rows it is linked with; and the pairs of different sets that are linked."""
+    sets = [plain_set(text) for _, text in rows]
+    counts, pairs = [0] * len(rows), set()
+    for i in range(len(rows)):
+        for j in range(i):
+            if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                counts[i] += 1
+                counts[j] += 1
+                if sets[i] != sets[j]:
+                    pairs.add(frozenset((frozenset(sets[i]), frozenset(sets[j]))))
+    return counts, pairs
+
+
+@pytest.mark.parametrize("block_shingles", [200, 3_000_000])
+def test_all_links(spark, block_shingles):
+    """Every link within and across blocks, copies and repeated rows included; pairs between classes each once."""
+    rows = [(r[0], r[1]) for r in awkward()]
+    for seed in range(4):
+        rows += [(5000 + 100 * seed + k, text) for k, text in enumerate(variants(seed + 30, words=25 + 15 * seed))]
+    rows += [(5000, rows[-1][1])] * 3 + [(None, rows[-2][1])] * 2
+    random.Random(2).shuffle(rows)
+    docs = frame(spark, [(*row, "s", 1, "t", "k", 0) for row in rows])
+    counts, pairs = links_of(rows)
+    found = N.link_documents(docs, block_shingles=block_shingles, counts=True)
+    wanted = [(*one, count) for one, count in zip(model(rows), counts)]
+    assert order(found.collect()) == order(wanted)
+    numbered = spark.createDataFrame([(k, text) for k, (_, text) in enumerate(rows)], "doc_id long, text string")
+    members, linked = N.linked_classes(numbered, block_shingles=block_shingles)
+    classes = {r.class_id: frozenset(plain_set(rows[r.doc_id][1])) for r in members.collect() if r.class_id is not None}
+    known = [frozenset((classes[r.class_u], classes[r.class_v])) for r in linked.collect()]
+    assert set(known) == pairs and len(known) == len(pairs)
+
+
+def test_words_made_to_collide(spark):
+    """Words by the Thue-Morse pattern and its complement: sums of powers modulo 2 ** 64 agree, the words don't."""
+    bits = [bin(i).count("1") % 2 for i in range(2048)]
+    one, other = ("".join("ab"[bit ^ flip] for bit in bits) for flip in (0, 1))
+    rows = [(1, " ".join(one + c for c in "pqrstuv")), (2, " ".join(other + c for c in "pqrstuv"))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert order(N.link_documents(docs).collect()) == [(1, 3, 1), (2, 3, 2)]
+
+
+def test_codes_keep_the_order_of_counts():
+    codes = N._codes(np.arange(1, 200_000))
+    assert (np.diff(codes.astype(int)) >= 0).all() and codes[0] == 1 and codes[127] == 128
+
+
+def test_one_text_of_each_class(spark):
+    """Repeated rows and rows without a doc_id don't bring their text along again."""
+    rows = [(7, "a b c d e f g h i j k l m n")] * 300 + [(None, "a b c d e f g h i j k l m n o")] * 300
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    seen = []
+    real = N.stage
+    try:
+        N.stage = lambda frame_, name: seen.append((name, real(frame_, name))) or seen[-1][1]
+        assert {tuple(r) for r in N.link_documents(docs, counts=True).collect()} == {(7, 10, 7, 599), (None, 11, 7, 599)}
+    finally:
+        N.stage = real
+    assert len(seen) > 5
+
+
 @pytest.mark.parametrize("block_shingles", [300, 3_000_000])
 def test_like_the_model(spark, block_shingles):
     rows = [(r[0], r[1]) for r in awkward()]
@@ -120,5 +182,8 @@ def test_surplus_keeps_one_of_each(spark):
         if linked[i][1] and linked[i][2] is not None:
             assert len([j for j in group if j in kept]) == 1
             assert rows[[j for j in group if j in kept][0]][0] == linked[i][2]
-        else:
+        elif not linked[i][1]:
             assert i in kept
+    # A component without any doc_id keeps one row, too; this test used to ask for all of them.
+    nameless = [i for i in range(len(rows)) if linked[i][1] and linked[i][2] is None]
+    assert len(nameless) == 2 and len([i for i in nameless if i in kept]) == 1
