@@ -19,16 +19,14 @@ from clipledger.llm.support import stage, text_key, text_or_empty
 
 #: Labelled rows to learn from, at most: those with the smallest hash of doc_id.
 MAX_LABELLED = 200_000
-#: Entries of the lexicon, at most; so its size is bounded.
-MAX_ENTRIES = 2_000
-#: Toxic texts an entry must occur in: so many, and this share of all toxic ones.
-MIN_TEXTS, MIN_SHARE = 3, 0.01
+#: Toxic texts an entry must occur in.
+MIN_TEXTS = 3
 #: Log-odds an entry must reach.
 MIN_WEIGHT = 2.0
 #: Clean texts, without a toxic one, that make a phrase an exception.
 MIN_EXCEPTION = 3
-#: Exception phrases, at most.
-MAX_EXCEPTIONS = 10_000
+#: Parts of the labelled rows; a lexicon without a part measures the part for the curve.
+FOLDS = 5
 #: Lengths of word beginnings that may become entries.
 PREFIXES = range(3, 9)
 #: Powers of the number of words that the sum of weights may be divided by.
@@ -43,9 +41,12 @@ _LOOKALIKES = {
 # Digits and signs written for letters.
 _DIGITS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"}
 _LETTER = r"[^\W\d_]"
+#: Words that may be written for others in whole: signs at their end, or look-alike letters only.
+_SIGNED = re.compile(rf"(?<![\w@$!]){_LETTER}[\w@$!]*[013457@$!](?![\w@$!])")
 _IN_WORD = re.compile(rf"(?<={_LETTER})[013457@$!]+(?={_LETTER})|(?<![\w@$!])[013457@$]{{1,2}}(?={_LETTER})")
 _INVISIBLE = re.compile("[­​-‍⁠﻿]")
 _ODD = re.compile("[" + "".join(_LOOKALIKES) + "Ａ-Ｚａ-ｚ]")
+_ALIKE = re.compile(r"(?<!\w)[" + "".join(_LOOKALIKES) + r"]{4,}(?!\w)")
 _FOLDED = str.maketrans(_LOOKALIKES | {chr(0xFF41 + k): chr(97 + k) for k in range(26)})
 _SPOKEN = str.maketrans(_DIGITS)
 _GAPS = re.compile(r"[\W_]+")
@@ -63,6 +64,15 @@ def fold(text: str) -> str:
     return f" {_GAPS.sub(' ', text).strip()} "
 
 
+def readings(text: str) -> list[str]:
+    """What words with signs at their end, and words wholly in look-alike letters, may stand for; of four letters or more."""
+    text = text.lower()
+    found = [m[0].translate(_SPOKEN) for m in _SIGNED.finditer(text)]
+    if not text.isascii() and _ODD.search(text):
+        found += [word for m in _ALIKE.finditer(text) if (word := m[0].translate(_FOLDED)).isascii()]
+    return [word for word in found if len(word) > 3]
+
+
 def _candidates(folded: str) -> set[str]:
     found = set()
     for word in set(folded.split()):
@@ -88,20 +98,20 @@ class Lexicon:
 
         machine = ahocorasick.Automaton()
         for entry, weight in self.weights.items():
-            machine.add_word(entry, (len(entry), weight))
+            machine.add_word(entry, (entry, weight))
         if len(machine):
             machine.make_automaton()
         return machine
 
 
-def matches(folded: str, machine) -> dict[int, float]:
-    """Where a word with an entry begins (its blank), and the largest weight there."""
-    found: dict[int, float] = {}
+def matches(folded: str, machine) -> dict[int, tuple[str, float]]:
+    """Where a word with an entry begins (its blank), and the entry with the largest weight there."""
+    found: dict[int, tuple[str, float]] = {}
     if len(machine):
-        for end, (size, weight) in machine.iter(folded):
-            at = end - size + 1
-            if weight > found.get(at, 0.0):
-                found[at] = weight
+        for end, (entry, weight) in machine.iter(folded):
+            at = end - len(entry) + 1
+            if at not in found or weight > found[at][1]:
+                found[at] = entry, weight
     return found
 
 
@@ -117,14 +127,17 @@ def phrases(folded: str, at: int) -> list[str]:
 
 
 def evidence(text: str, machine, exceptions: frozenset[str]) -> tuple[float, int]:
-    """Sum of weights of matches outside exception phrases, and the number of words."""
+    """Sum of weights of the different entries found outside exception phrases, and the number of words."""
     folded = fold(text)
     words = folded.count(" ") - 1
-    total = 0.0
-    for at, weight in matches(folded, machine).items():
-        if not (exceptions and any(phrase in exceptions for phrase in phrases(folded, at))):
-            total += weight
-    return total, max(words, 0)
+    found: dict[str, float] = {}
+    for at, (entry, weight) in matches(folded, machine).items():
+        if entry not in found and not (exceptions and any(phrase in exceptions for phrase in phrases(folded, at))):
+            found[entry] = weight
+    for word in readings(text):
+        for entry, weight in matches(f" {word} ", machine).values():
+            found[entry] = weight
+    return sum(found.values()), max(words, 0)
 
 
 def _feature(total: np.ndarray, words: np.ndarray, power: float) -> np.ndarray:
@@ -148,10 +161,10 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float, float]:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> DataFrame:
-    """text and toxic (0 or 1) of labelled documents outside the held-out third, each different text once.
+    """text and toxic (0 or 1) of labelled documents outside the held-out third; of doc_ids with one text, one.
 
     ``max_labelled`` bounds how many labelled rows are used. Rows with a null doc_id or label are left out; a doc_id with several
-    labels counts as toxic if one says so.
+    labels counts as toxic if one says so, and its repeated rows all stay.
     """
     sample = (
         labels.where("doc_id is not null and toxic is not null")
@@ -177,64 +190,105 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
+def _surprise(bad: Column, good: Column, toxic: int, clean: int) -> Column:
+    """Likelihood ratio of an entry's share among toxic and among clean texts against one share for both (G squared)."""
+
+    def term(seen: Column, expected: Column) -> Column:
+        return F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
+
+    n, share = toxic + clean, (bad + good) / (toxic + clean)
+    with_it = term(bad, share * toxic) + term(good, share * clean)
+    rest = n * (1 - share)
+    return 2 * (with_it + term(toxic - bad, rest * toxic / n) + term(clean - good, rest * clean / n))
+
+
 def learn(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> Lexicon:
     """Entries by log-odds, exception phrases, and the curve from evidence to score.
 
-    Without toxic labels the lexicon is empty and every score is the smoothed share of toxic labels.
+    An entry must be so unevenly spread that chance would make less than one such among all that were tried, however many
+    those are. The curve is fitted to evidence by lexicons that were learned without the text at hand. Without toxic labels
+    the lexicon is empty and every score is the smoothed share of toxic labels.
     """
     # Bounded by max_labelled; read four times below.
-    train = stage(training_rows(docs, labels, max_labelled), "labelled")
-    sizes = {row["toxic"]: row["n"] for row in train.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
-    lexicon = Lexicon(slope=0.0, intercept=float(np.log((toxic + 1) / (clean + 1))))
-    if not toxic:
+    part = F.pmod(F.xxhash64(F.lit(3), "text"), F.lit(FOLDS)).cast("int").alias("part")
+    train = stage(training_rows(docs, labels, max_labelled).select("text", "toxic", part), "labelled")
+    sizes = {(r["part"], r["toxic"]): r["n"] for r in train.groupBy("part", "toxic").agg(F.count("*").alias("n")).collect()}
+
+    def total(label: int, without: int | None) -> int:
+        return sum(n for (one, toxic), n in sizes.items() if toxic == label and one != without)
+
+    lexicon = Lexicon(slope=0.0, intercept=float(np.log((total(1, None) + 1) / (total(0, None) + 1))))
+    if not total(1, None):
         return lexicon
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            bad, good = Counter(), Counter()
-            for text, is_toxic in zip(batch["text"], batch["toxic"]):
-                (bad if is_toxic else good).update(_candidates(fold(text)))
-            # An entry that no toxic text of the batch has is needed for its clean count all the same.
-            entries = list(bad.keys() | good.keys())
-            yield pd.DataFrame(
-                {"entry": entries, "bad": [bad[e] for e in entries], "good": [good[e] for e in entries]}
-            )
-
-    least = max(MIN_TEXTS, int(MIN_SHARE * toxic))
-    weight = F.log((F.col("bad") + 0.5) / (toxic + 1)) - F.log((F.col("good") + 0.5) / (clean + 1))
-    rows = (
-        train.mapInPandas(count, "entry string, bad long, good long")
+            for one, some in batch.groupby("part"):
+                bad, good = Counter(), Counter()
+                for text, toxic in zip(some["text"], some["toxic"]):
+                    (bad if toxic else good).update(_candidates(fold(text)))
+                # An entry that no toxic text of the batch has is needed for its clean count all the same.
+                entries = list(bad.keys() | good.keys())
+                yield pd.DataFrame(
+                    {"entry": entries, "part": one, "bad": [bad[e] for e in entries], "good": [good[e] for e in entries]}
+                )
+
+    def without(column: str, one: int) -> Column:
+        return F.sum(F.when(F.col("part") != one, F.col(column)).otherwise(0)).alias(f"{column}_{one}")
+
+    counted = (
+        train.mapInPandas(count, "entry string, part int, bad long, good long")
         .groupBy("entry")
-        .agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
-        .where(F.col("bad") >= least)
-        .withColumn("weight", weight)
-        .where(F.col("weight") >= MIN_WEIGHT)
-        # Entries with most to say first; the limit bounds the lexicon.
-        .orderBy(F.desc(F.col("bad") * F.col("weight")), "entry")
-        .limit(MAX_ENTRIES)
-        .collect()
+        .agg(
+            F.sum("bad").alias("bad"),
+            F.sum("good").alias("good"),
+            *(without(name, one) for one in range(FOLDS) for name in ("bad", "good")),
+        )
+        .where(F.col("bad") >= MIN_TEXTS)
     )
-    weights = {row["entry"]: float(row["weight"]) for row in rows}
-    # What a shorter beginning says as well needs no entry.
-    lexicon.weights = {
-        entry: weight
-        for entry, weight in weights.items()
-        if not any(weights.get(entry[:size], 0.0) >= weight for size in range(4, len(entry)))
-    }
-    lexicon.exceptions = _learn_exceptions(train, lexicon)
+    counted = stage(counted, "entries")
+    # Twice the logarithm of how many were tried: passed by chance by fewer than one of them.
+    least = 2 * float(np.log(max(counted.count(), 2)))
+    chosen: list[dict[str, float]] = []
+    for one in (None, *range(FOLDS)):
+        name = "" if one is None else f"_{one}"
+        bad, good, toxic, clean = F.col(f"bad{name}"), F.col(f"good{name}"), total(1, one), total(0, one)
+        weight = F.log((bad + 0.5) / (toxic + 1)) - F.log((good + 0.5) / (clean + 1))
+        if not toxic:
+            chosen.append({})
+            continue
+        rows = (
+            counted.where(bad >= MIN_TEXTS)
+            .select("entry", weight.alias("weight"), _surprise(bad, good, toxic, clean).alias("surprise"))
+            .where((F.col("weight") >= MIN_WEIGHT) & (F.col("surprise") >= least))
+            .collect()  # bounded by the labelled rows
+        )
+        weights = {row["entry"]: float(row["weight"]) for row in rows}
+        # What a shorter beginning says as well needs no entry.
+        chosen.append(
+            {
+                entry: weight
+                for entry, weight in sorted(weights.items())
+                if not any(weights.get(entry[:size], 0.0) >= weight for size in range(4, len(entry)))
+            }
+        )
+    lexicon.weights = chosen[0]
+    parts = [Lexicon(weights=weights) for weights in chosen[1:]]
+    _learn_exceptions(train, lexicon, parts)
 
     @F.pandas_udf("total double, words long")
-    def measured(texts: pd.Series) -> pd.DataFrame:
-        machine = lexicon.automaton()
-        return pd.DataFrame([evidence(text, machine, lexicon.exceptions) for text in texts], columns=["total", "words"])
+    def measured(texts: pd.Series, ones: pd.Series) -> pd.DataFrame:
+        machines = [one.automaton() for one in parts]
+        seen = [evidence(text, machines[one], parts[one].exceptions) for text, one in zip(texts, ones)]
+        return pd.DataFrame(seen, columns=["total", "words"])
 
     # At most max_labelled rows of three numbers.
-    seen = train.select("toxic", measured("text").alias("m")).select("toxic", "m.total", "m.words").toPandas()
-    total, words, y = (seen[name].to_numpy(dtype=float) for name in ("total", "words", "toxic"))
+    seen = train.select("toxic", measured("text", "part").alias("m")).select("toxic", "m.total", "m.words").toPandas()
+    seen = seen.sort_values(["toxic", "total", "words"])  # sums of doubles depend on their order
+    sums, words, y = (seen[name].to_numpy(dtype=float) for name in ("total", "words", "toxic"))
     best = None
     for power in POWERS:
-        slope, intercept, fit = _logistic(_feature(total, words, power), y)
+        slope, intercept, fit = _logistic(_feature(sums, words, power), y)
         if slope >= 0 and (best is None or fit > best[0] + 1e-9):
             best = (fit, power, slope, intercept)
     if best:
@@ -242,29 +296,35 @@ def learn(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED)
     return lexicon
 
 
-def _learn_exceptions(train: DataFrame, lexicon: Lexicon) -> frozenset[str]:
+def _learn_exceptions(train: DataFrame, lexicon: Lexicon, parts: list[Lexicon]) -> None:
+    """Sets the exception phrases of the lexicon, and of those that are learned without a part."""
+
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        machine = lexicon.automaton()
+        machines = [one.automaton() for one in (lexicon, *parts)]
         for batch in batches:
             rows = Counter()
-            for text, is_toxic in zip(batch["text"], batch["toxic"]):
+            for text, toxic, one in zip(batch["text"], batch["toxic"], batch["part"]):
                 folded = fold(text)
-                rows.update({(p, int(is_toxic)) for at in matches(folded, machine) for p in phrases(folded, at)})
-            yield pd.DataFrame([(p, k, n) for (p, k), n in rows.items()], columns=["phrase", "toxic", "n"])
+                places = {at for machine in machines for at in matches(folded, machine)}
+                rows.update({(phrase, one, int(toxic)) for at in places for phrase in phrases(folded, at)})
+            yield pd.DataFrame([(*key, n) for key, n in rows.items()], columns=["phrase", "part", "toxic", "n"])
+
+    def among(toxic: int, without: int | None) -> Column:
+        chosen = F.col("toxic") == toxic
+        if without is not None:
+            chosen &= F.col("part") != without
+        return F.sum(F.when(chosen, F.col("n")).otherwise(0))
 
+    options = [None, *range(len(parts))]
     found = (
-        train.mapInPandas(count, "phrase string, toxic int, n long")
+        train.mapInPandas(count, "phrase string, part int, toxic int, n long")
         .groupBy("phrase")
-        .agg(
-            F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("good"),
-            F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("bad"),
-        )
-        .where((F.col("good") >= MIN_EXCEPTION) & (F.col("bad") == 0))
-        .orderBy(F.desc("good"), "phrase")
-        .limit(MAX_EXCEPTIONS)
-        .collect()
+        .agg(*(((among(0, one) >= MIN_EXCEPTION) & (among(1, one) == 0)).alias(f"is_{k}") for k, one in enumerate(options)))
+        .where(" OR ".join(f"is_{k}" for k in range(len(options))))
+        .collect()  # bounded by the labelled rows
     )
-    return frozenset(row["phrase"] for row in found)
+    for k, one in enumerate((lexicon, *parts)):
+        one.exceptions = frozenset(row["phrase"] for row in found if row[f"is_{k}"])
 
 
 def toxicity_score(lexicon: Lexicon, column: str | Column = "text") -> Column:
