@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from clipledger.functions import scalars as S
 from clipledger.functions import variants as V
+from clipledger.session import scratch_dir
+from clipledger.sources import files
 
 # Where a profile response may keep its videos, and an item its id.
 LIST_KEYS = ("aweme_list", "videos", "itemList", "data", "items")
@@ -58,16 +60,61 @@ def _expanded(path: Column, value: Column, max_keys: int | None) -> Column:
     return F.coalesce(of_dict, of_list, of_scalar)
 
 
-def _depth(value: Column) -> Column:
-    """How many brackets of a document are open at most, outside its texts."""
-    bare = F.regexp_replace(F.to_json(value), r'"(?:[^"\\]|\\.)*+"|[^\[\]{}]', "")
-    nothing = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
+#: Levels that one pass over open nodes follows.
+LEVELS = 6
 
-    def step(seen: Column, bracket: Column) -> Column:
-        now = seen["now"] + F.when(bracket.isin("{", "["), 1).when(bracket.isin("}", "]"), -1).otherwise(0)
-        return F.struct(now.alias("now"), F.greatest(seen["most"], now).alias("most"))
 
-    return F.aggregate(F.split(bare, ""), nothing, step, lambda seen: seen["most"])
+def _followed(nodes: DataFrame, levels: int, max_keys: int | None) -> DataFrame:
+    """Nodes some levels further; each level is one explode, and nothing is shuffled."""
+    node = F.col("node")
+    for _ in range(levels):
+        grown = F.when(
+            node["open"], _expanded(node["path"], node["value"], max_keys)
+        ).otherwise(F.array(node))
+        nodes = nodes.select(F.explode(grown).alias("node"))
+    return nodes
+
+
+def _rows(nodes: DataFrame) -> DataFrame:
+    node = F.col("node")
+    kind = F.when(node["open"], "...").otherwise(node["type"])
+    return nodes.select(
+        node["path"].alias("path"), kind.alias("type"), node["length"].alias("length")
+    )
+
+
+def _stored(nodes: DataFrame, path: str) -> None:
+    """Settled rows and open nodes, in a folder each, by one walk."""
+    node = F.col("node")
+    nodes.select(
+        node["path"].alias("path"),
+        F.when(node["open"], node["value"]).alias("value"),
+        node["type"].alias("type"),
+        node["length"].alias("length"),
+        node["open"].alias("open"),
+    ).write.partitionBy("open").parquet(path)
+
+
+def _deeper(frontier: DataFrame, max_keys: int | None) -> DataFrame:
+    """Rows of everything below open nodes, whatever their depth.
+
+    Each round follows the open nodes of the one before ``LEVELS`` further, and stores settled rows and open nodes; the plan
+    of a round, and that of the result, is the same for any depth.
+    """
+    spark = frontier.sparkSession
+    base = scratch_dir(spark, "paths")
+    stored = "path string, value variant, type string, length int"
+    _stored(frontier, f"{base}/round=0")
+    turn = 0
+    while files.has_data(spark, f"{base}/round={turn}/open=true"):
+        nodes = spark.read.schema(stored).parquet(f"{base}/round={turn}/open=true")
+        no = F.lit(None)
+        opened = nodes.select(_node(F.col("path"), F.col("value"), no, no, F.lit(True)).alias("node"))
+        _stored(_followed(opened, LEVELS, max_keys), f"{base}/round={turn + 1}")
+        files.remove(spark, f"{base}/round={turn}/open=true")
+        turn += 1
+    settled = spark.read.schema("path string, type string, length int").option("recursiveFileLookup", True)
+    return settled.parquet(base)
 
 
 def json_paths(
@@ -79,24 +126,17 @@ def json_paths(
     """One row per path of each document: path, type, and the length of lists.
 
     Objects are followed key by key, lists into their first element. Given ``max_keys``, only so
-    many keys by name are followed; given ``max_depth``, anything deeper is "...". Otherwise the
-    depth comes from the documents, in one pass before. Each level is one explode of the rows
-    before it, and nothing is shuffled.
+    many keys by name are followed; given ``max_depth``, anything deeper is "...". Otherwise the first ``LEVELS`` levels
+    come straight from the documents, and what is still open below them is stored and followed on, so that a deep
+    document costs rounds over its own open nodes and nothing for all others.
     """
-    if max_depth is None:
-        max_depth = documents.agg(F.max(_depth(F.col(column)))).first()[0] or 0
     root = _node(F.lit(""), F.col(column), F.lit("root"), F.lit(None), F.lit(True))
     nodes = documents.where(F.col(column).isNotNull()).select(root.alias("node"))
-    node = F.col("node")
-    for _ in range(max_depth + 1):
-        grown = F.when(
-            node["open"], _expanded(node["path"], node["value"], max_keys)
-        ).otherwise(F.array(node))
-        nodes = nodes.select(F.explode(grown).alias("node"))
-    kind = F.when(node["open"], "...").otherwise(node["type"])
-    return nodes.select(
-        node["path"].alias("path"), kind.alias("type"), node["length"].alias("length")
-    )
+    if max_depth is not None:
+        return _rows(_followed(nodes, max_depth + 1, max_keys))
+    near = _followed(nodes, LEVELS + 1, max_keys)
+    settled = _rows(near.where(~F.col("node.open")))
+    return settled.unionByName(_deeper(near.where(F.col("node.open")), max_keys))
 
 
 def json_shape_profile(

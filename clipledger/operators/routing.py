@@ -16,7 +16,7 @@ def route_responses(responses: DataFrame) -> DataFrame:
     """Adds ``route`` and ``message``; ``payload`` is filled for usable responses only.
 
     A blank body of a successful response is an empty object. Every status that is neither
-    success nor terminal, a missing one included, is retryable.
+    success nor terminal, a missing one included, is retryable. A landed line that could not be read is a failure.
     """
     body, status = F.col("body"), F.col("http_status")
     parsed = responses.withColumn(
@@ -25,13 +25,18 @@ def route_responses(responses: DataFrame) -> DataFrame:
     payload = F.col("payload")
     blank = payload.isNull() & (F.coalesce(S.strip(body), F.lit("")) == "")
     success = F.coalesce(status == 200, F.lit(False))
+    unread, reason = F.lit(False), F.lit(None).cast("string")
+    if "broken" in responses.columns:
+        unread, reason = F.col("broken").isNotNull(), F.col("broken.reason")
     route = (
-        F.when(success & (blank | payload.isNotNull()), OK)
+        F.when(unread, TERMINAL)
+        .when(success & (blank | payload.isNotNull()), OK)
         .when(success | status.isin(*TERMINAL_STATUS), TERMINAL)
         .otherwise(TRANSIENT)
     )
     message = (
-        F.when(F.col("route") == OK, None)
+        F.when(unread, F.concat(F.lit("broken line: "), reason))
+        .when(F.col("route") == OK, None)
         .when(success, "bad JSON")
         .otherwise(S.error_message(body, payload))
     )

@@ -1,4 +1,4 @@
-"""Newest-wins merge."""
+"""Newest-wins merge, and the order of arrival that settles its ties."""
 
 from __future__ import annotations
 
@@ -8,6 +8,24 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Where a row stood when it was read: file, block, row within the block.
+ARRIVAL = "_arrival"
+
+
+def with_arrival(scanned: DataFrame) -> DataFrame:
+    """Adds ``ARRIVAL`` to rows just read from files: they arrive by file name, then by their place in the file.
+
+    The order is data from here on, so it survives any exchange of rows; and it doesn't depend on how the scan is split, as blocks
+    of a file are ordered by their start.
+    """
+    place = F.struct(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"),
+    )
+    return scanned.select("*", place.alias(ARRIVAL))
+
+
 def upsert_latest(
     existing: DataFrame | None,
     incoming: DataFrame,
@@ -20,12 +38,15 @@ def upsert_latest(
 
     A null ``collected_at`` counts as latest. On equal times an incoming row beats an existing
     one, and among incoming rows the one latest by the ``order`` columns wins. Rows with a null
-    key form one group. Without a ``collected_at`` column only the order decides.
+    key form one group. Without a ``collected_at`` column only the order decides. Where no ``order``
+    is given, incoming rows that carry ``ARRIVAL`` (see ``with_arrival``) are ordered by it; it is dropped.
 
     The row limit of the window runs before the shuffle too, so however many copies one key
     has, each task sends on at most one.
     """
     columns = incoming.columns
+    if not order and ARRIVAL in columns:
+        order = (ARRIVAL,)
     parts = incoming.withColumn("_incoming", F.lit(1))
     if existing is not None:
         parts = existing.withColumn("_incoming", F.lit(0)).unionByName(
@@ -38,5 +59,5 @@ def upsert_latest(
     return (
         parts.withColumn("_rank", F.row_number().over(latest))
         .where(F.col("_rank") == 1)
-        .drop("_rank", "_incoming")
+        .drop("_rank", "_incoming", ARRIVAL)
     )

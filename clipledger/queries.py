@@ -21,7 +21,7 @@ from clipledger.operators.parsing import parse_comments, parse_videos, video_lin
 from clipledger.operators.replies import reply_expand
 from clipledger.operators.resolve import resolve_handles
 from clipledger.operators.routing import route_responses, usable
-from clipledger.operators.upsert import upsert_latest
+from clipledger.operators.upsert import upsert_latest, with_arrival
 from clipledger.plans import ingest
 from clipledger.session import configure, scratch_dir
 from clipledger.sources import tables
@@ -183,6 +183,25 @@ def registry_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return registry_scan(spark, path).drop("row_ord")
 
 
+_LINED = "'two' || chr(10) || '\"' || c_custkey || '\",' || chr(10) || chr(10) || c_name"
+
+
+@register(
+    f"SELECT {_LINED} AS client, 'https://www.tiktok.com/@u' || c_custkey AS tiktok, "
+    "CASE WHEN c_custkey % 3 = 0 THEN 'a' || chr(13) || chr(10) || 'b, ' || c_custkey END AS instagram, "
+    "'u' || c_custkey AS handle FROM customer"
+)
+def registry_quoted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line breaks, commas and quotes inside quoted values, and a byte-order mark before the header."""
+    path = scratch_dir(spark, "registry_quoted")
+    R.table(spark, sf_dir, "customer").select(
+        F.expr("concat('two\\n\"', c_custkey, '\",\\n\\n', c_name)").alias("\ufeffclient"),
+        F.expr("concat('https://www.tiktok.com/@u', c_custkey)").alias("tiktok"),
+        F.expr("if(c_custkey % 3 = 0, concat('a\\r\\nb, ', c_custkey), null)").alias("instagram"),
+    ).write.csv(path, header=True, escape='"')
+    return registry_scan(spark, path).drop("row_ord")
+
+
 @register(
     "SELECT c_name AS identifier, CASE WHEN c_custkey % 10 <> 0 THEN 'u' || c_custkey END AS handle, "
     "c_custkey % 10 <> 0 AS resolved FROM customer UNION ALL "
@@ -215,6 +234,61 @@ def contract_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(tables.contract_scan(spark, path, VIDEO_SCHEMA))
 
 
+# Files of one folder by order key: whole numbers, floats, nothing but nulls, no such column.
+_MIXED = {
+    "like_count": "CASE k % 4 WHEN 0 THEN like_count WHEN 1 THEN like_count END",
+    "share_count": "CASE WHEN k % 4 <> 3 THEN share_count END",
+    "play_count": "CASE WHEN k % 4 <> 1 THEN play_count END",
+}
+
+
+def _mixed_columns() -> str:
+    shown = X.VIDEO_COLUMNS
+    for name, expected in _MIXED.items():
+        shown = shown.replace(name, f"CAST({expected} AS BIGINT) AS {name}")
+    return shown
+
+
+def _mixed_files(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Videos written file by file, as a writer without a contract types each batch."""
+    videos = _videos(spark, sf_dir)
+    part = F.expr("CAST(video_id AS BIGINT) % 4")
+    drifts = (
+        lambda rows: rows,
+        lambda rows: rows.withColumn("like_count", F.col("like_count").cast("double"))
+        .withColumn("play_count", F.lit(None).cast("int")),
+        lambda rows: rows.withColumn("like_count", F.lit(None).cast("int"))
+        .withColumn("comment_count", F.col("comment_count").cast("double")),
+        lambda rows: rows.drop("share_count").withColumn("like_count", F.lit(None).cast("double"))
+        .select(*reversed(rows.drop("share_count").columns), F.lit(1).alias("note")),
+    )
+    for number, drift in enumerate(drifts):
+        drift(videos.where(part == number)).write.mode("append").parquet(path)
+
+
+@register(f"{X.with_parts(X.VIDEOS)} SELECT {_mixed_columns()} FROM videos WHERE landed AND k % 97 <> 0")
+def contract_scan_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One folder of files whose counts are whole numbers, floats, all null or missing."""
+    path = scratch_dir(spark, "mixed")
+    _mixed_files(spark, sf_dir, path)
+    return plain(tables.contract_scan(spark, path, VIDEO_SCHEMA))
+
+
+@register(
+    f"{X.with_parts(X.VIDEOS)} SELECT client, count(*) AS n, CAST(sum(CASE WHEN k % 4 < 2 THEN like_count END) AS BIGINT) "
+    "AS likes, CAST(sum(comment_count) AS BIGINT) AS reported FROM videos WHERE landed AND k % 97 <> 0 GROUP BY client"
+)
+def table_views_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A view over the same files by a glob, then SQL on it."""
+    path = scratch_dir(spark, "mixed_views")
+    _mixed_files(spark, sf_dir, f"{path}/video")
+    tables.table_views(spark, f"{path}/video/*.parquet", f"{path}/comments")
+    return spark.sql(
+        "SELECT client, count(*) AS n, sum(like_count) AS likes, sum(comment_count) AS reported "
+        "FROM video GROUP BY client"
+    )
+
+
 @register(
     f"{X.with_parts(X.VIDEOS, X.COMMENTS, X.LATEST)} "
     "SELECT client, 'video' AS kind, count(*) AS n FROM videos WHERE landed GROUP BY client "
@@ -265,6 +339,37 @@ def payload_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(routed.select("video_id", "page_seq", "client", "route", "fetched_at"))
 
 
+_LANDED_LINE = (
+    "CASE page_id % 4 WHEN 0 THEN '{{\"client\":\"c' || page_id || '\",\"http_status\":200,\"body\":{{}}}}' "
+    "WHEN 1 THEN '{{\"client\":\"c' || page_id || '\",\"body\":\"' || {text} "
+    "WHEN 2 THEN '[' || page_id || ']' ELSE 'x ' || {text} END"
+)
+
+
+@register(
+    f"WITH lines AS (SELECT page_id, {_LANDED_LINE.format(text='translate(html, chr(10) || chr(13), chr(32) || chr(32))')} "
+    "AS line FROM pages) SELECT CASE WHEN page_id % 4 = 0 THEN 'c' || page_id END AS client, "
+    "CASE page_id % 4 WHEN 0 THEN 'ok' ELSE 'terminal' END AS route, "
+    "CASE page_id % 4 WHEN 0 THEN NULL WHEN 2 THEN 'broken line: not an object' ELSE 'broken line: not JSON' END AS message, "
+    "page_id % 4 <> 0 AS has_file, CASE WHEN page_id % 4 <> 0 THEN CAST(strlen(line) AS BIGINT) END AS length, "
+    "CASE WHEN page_id % 4 <> 0 THEN sha256(line) END AS sha256 FROM lines"
+)
+def payload_broken(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines cut in the middle, of another shape or no JSON at all, among good ones."""
+    path = scratch_dir(spark, "broken")
+    line = _LANDED_LINE.format(text="translate(html, '\\n\\r', '  ')")
+    R.table(spark, sf_dir, "pages").select(F.expr(line)).write.text(path)
+    routed = route_responses(payload_scan(spark, path))
+    return routed.select(
+        "client",
+        "route",
+        "message",
+        F.coalesce(F.col("broken.file").contains("/broken-"), F.lit(False)).alias("has_file"),
+        "broken.length",
+        "broken.sha256",
+    )
+
+
 @register(
     "SELECT CAST(page_id AS VARCHAR) AS video_id, "
     "CASE page_id % 7 WHEN 0 THEN 'ok' WHEN 1 THEN 'ok' WHEN 5 THEN 'transient' "
@@ -385,6 +490,23 @@ def upsert_null_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _upsert_events(spark, sf_dir, "CASE WHEN event_id % 100 > 1 THEN ts END")
 
 
+@register(
+    "SELECT user_id, event_id, event_type, value FROM (SELECT *, row_number() OVER ("
+    "PARTITION BY user_id ORDER BY event_id % 2 DESC, event_id DESC) AS place FROM events) WHERE place = 1"
+)
+def upsert_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of one time and no order column: what stands later in the files wins, wherever it is then sent."""
+    path = scratch_dir(spark, "arrival")
+    events = R.table(spark, sf_dir, "events").select(
+        "user_id", "event_id", "event_type", "value", F.lit(0).cast("timestamp").alias("collected_at")
+    )
+    stored = upsert_latest(None, events.where("event_id % 2 = 0"), "user_id", scope=(), order=("event_id",))
+    incoming = events.where("event_id % 2 = 1").repartitionByRange("event_id").sortWithinPartitions("event_id")
+    incoming.write.parquet(path)
+    arrived = with_arrival(spark.read.parquet(path)).repartition(7)
+    return upsert_latest(stored, arrived, "user_id", scope=()).drop("collected_at")
+
+
 @register(
     f"{X.with_parts(X.VIDEOS, X.COMMENTS, X.LATEST)} SELECT "
     "(SELECT count(*) FROM videos WHERE landed) AS videos, count(*) AS comments, "
@@ -541,6 +663,26 @@ def json_shape_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profiling.json_shape_profile(documents)
 
 
+_DEEPEST = 300
+
+
+@register(
+    "WITH depths AS (SELECT CASE WHEN c_custkey % 50 = 0 THEN 300 ELSE c_custkey % 6 + 1 END AS depth FROM customer) "
+    "SELECT repeat('a.', CAST(depth - 1 AS INTEGER)) || 'a' AS path, 'int' AS type, count(*) AS documents, "
+    "CAST(NULL AS DOUBLE) AS mean_length FROM depths GROUP BY depth "
+    "UNION ALL SELECT repeat('a.', CAST(level - 1 AS INTEGER)) || 'l', 'list', count(*), 2.0 FROM depths, "
+    "(SELECT unnest(range(1, 301)) AS level) WHERE level <= depth GROUP BY level "
+    "UNION ALL SELECT repeat('a.', CAST(level - 1 AS INTEGER)) || 'l[0]', 'str', count(*), NULL FROM depths, "
+    "(SELECT unnest(range(1, 301)) AS level) WHERE level <= depth GROUP BY level"
+)
+def json_shape_deep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Objects within objects, 1 to 300 of them, with a list at every level; one document in fifty is the deepest."""
+    depth = F.expr(f"CASE WHEN c_custkey % 50 = 0 THEN {_DEEPEST} ELSE int(c_custkey % 6 + 1) END")
+    text = F.concat(F.repeat(F.lit('{"l":["x",1],"a":'), depth), F.col("c_custkey"), F.repeat(F.lit("}"), depth))
+    documents = R.table(spark, sf_dir, "customer").select(F.parse_json(text).alias("raw"))
+    return profiling.json_shape_profile(documents)
+
+
 @register(
     "SELECT 'u' || o_custkey AS client, 'https://www.tiktok.com/@u' || o_custkey || '/video/' || "
     "arg_min(o_orderkey, n) FILTER (o_orderkey % 97 <> 0) AS first_video_url FROM ("

@@ -64,6 +64,15 @@ ENVELOPE_SCHEMA = _schema(
     ("fetched_at", _TIME),
 )
 
+# Where a landed line that is no JSON object can be found again; its text is not kept.
+BROKEN_SCHEMA = _schema(
+    ("file", _TEXT),
+    ("block", _COUNT),
+    ("length", _COUNT),
+    ("sha256", _TEXT),
+    ("reason", _TEXT),
+)
+
 # What identifies one paginated request.
 REQUEST = ("run_id", "endpoint", "client", "video_id", "parent_comment_id")
 

@@ -1,5 +1,6 @@
 """Ingestion end to end: runs, replays, late pages, and the stream against one batch."""
 
+import hashlib
 import json
 import random
 
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from clipledger.plans import collect as C
 from clipledger.plans import ingest
 from clipledger.sources.contracts import ENVELOPE_SCHEMA
-from clipledger.sources.landing import from_envelopes, payload_scan
+from clipledger.sources.landing import broken_lines, from_envelopes, payload_scan
 from clipledger.streaming.incremental import ingest_incremental
 
 
@@ -142,6 +143,52 @@ def test_stream_equals_batch(spark, tmp_path):
     assert safe(contents(spark, str(root))) == wanted
 
 
+def test_many_batches_in_any_order(spark, tmp_path):
+    """A page or two at a time, videos before their profile page and replies before their comments; each page is opened once."""
+    rows = landed_rows(videos=3)
+    wanted = safe(batch(spark, str(tmp_path / "batch"), rows))
+    random.Random(5).shuffle(rows)
+    landing, root, state = (tmp_path / name for name in ("landing", "tables", "state"))
+    landing.mkdir()
+    for number in range(0, len(rows), 2):
+        (landing / f"{number:02d}.json").write_text("\n".join(map(json.dumps, rows[number : number + 2])))
+    ingest_incremental(spark, str(landing), str(root), str(state), max_files_per_batch=1, **BOUNDS)
+    assert safe(contents(spark, str(root))) == wanted
+    # One more batch, of another crawl: what no longer waits is gone.
+    (landing / "zz.json").write_text("\n".join(map(json.dumps, landed_rows("r9", videos=1))))
+    ingest_incremental(spark, str(landing), str(root), str(state), **BOUNDS)
+    assert len(list((state / "pages").glob("batch=*"))) < 4
+
+
+def read_bytes(spark):
+    # Bytes that finished stages have read from files so far.
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    stages = spark.sparkContext._jsc.sc().statusStore().stageList(None, False, False, spark.sparkContext._gateway.new_array(spark._jvm.double, 0), None)
+    return sum(stages.apply(k).inputBytes() for k in range(stages.size()))
+
+
+def test_batches_read_what_is_new(spark, tmp_path):
+    """Twenty batches of one crawl of one long video: what a batch reads does not grow with what landed before."""
+    landing, root, state = (tmp_path / name for name in ("landing", "tables", "state"))
+    landing.mkdir()
+    rows = landed_rows(videos=1, pages=60)
+    profile, pages = rows[0], rows[1:-1]
+    for row in pages:
+        body = json.loads(row["body"])
+        for item in body["comments"]:
+            item["text"] = "".join(random.Random(item["cid"]).choices("abcdefghij", k=20_000))
+        row["body"] = json.dumps(body)
+    sizes = []
+    for number in range(20):
+        share = pages[3 * number : 3 * number + 3] + ([profile] if number == 0 else [])
+        (landing / f"{number:02d}.json").write_text("\n".join(map(json.dumps, share)))
+        before = read_bytes(spark)
+        ingest_incremental(spark, str(landing), str(root), str(state))
+        sizes.append(read_bytes(spark) - before)
+    assert ingest.current_comments(spark, str(root)).count() == 120
+    assert max(sizes[10:]) < 1.5 * max(sizes[1:5]), sizes
+
+
 def test_replayed_batch_changes_nothing(spark, tmp_path):
     landing, root, state = (tmp_path / name for name in ("landing", "tables", "state"))
     landing.mkdir()
@@ -157,6 +204,31 @@ def test_replayed_batch_changes_nothing(spark, tmp_path):
     assert sorted(path.name for path in (root / "comments").iterdir()) == versions
 
 
+def test_broken_lines(spark, tmp_path):
+    rows = landed_rows(videos=1)
+    texts = [json.dumps(row) for row in rows]
+    cut, deep = texts[1][:60], texts[2][:-1]
+    (tmp_path / "a.json").write_text("\n".join([texts[0], "", cut, "  ", *texts[3:]]))
+    (tmp_path / "b.json").write_text("\n".join([deep, "[1]", '"naïve"']))
+    scanned = payload_scan(spark, str(tmp_path))
+    found = sorted((r.file.rsplit("/", 1)[1], r.block, r.length, r.sha256, r.reason) for r in broken_lines(scanned).collect())
+
+    def wanted(name, text, reason):
+        data = text.encode()
+        return name, 0, len(data), hashlib.sha256(data).hexdigest(), reason
+
+    assert found == sorted([
+        wanted("a.json", cut, "not JSON"), wanted("b.json", deep, "not JSON"),
+        wanted("b.json", "[1]", "not an object"), wanted("b.json", '"naïve"', "not an object"),
+    ])
+    with ingest.staged_pages(spark, scanned) as staged:
+        failed = C.failed_responses(staged).where("broken is not null").collect()
+    assert {(r.route, r.message) for r in failed} == {
+        ("terminal", "broken line: not JSON"), ("terminal", "broken line: not an object"),
+    }
+    assert sorted(r.broken.length for r in failed) == sorted(one[2] for one in found)
+
+
 def test_payload_scan_shapes(spark, tmp_path):
     row = landed_rows(videos=1)[1]
     nested = dict(row, body=json.loads(row["body"]), page_seq=1)

@@ -1,4 +1,5 @@
 import json
+import re
 
 from pyspark.sql import functions as F
 
@@ -44,6 +45,32 @@ def test_nothing_is_left_out_by_default(spark):
     assert ("x[0][0][0].y", "int", None) in found and all(kind != "..." for _, kind, _ in found)
 
 
+def nested(depth):
+    value = 1
+    for _ in range(depth):
+        value = {"k": value}
+    return value
+
+
+def test_plan_is_the_same_for_any_depth(spark):
+    plans = []
+    for depth in (6, 60, 300):
+        text = spark.createDataFrame([(json.dumps(nested(depth)),), ('{"a":[1]}',)], "text string")
+        found = json_paths(text.select(F.parse_json("text").alias("raw")))
+        plans.append(re.sub(r"#\d+", "", found._jdf.queryExecution().optimizedPlan().toString()))
+        assert sorted(tuple(row) for row in found.collect()) == [
+            ("a", "list", 1), ("a[0]", "int", None), (".".join("k" * depth), "int", None),
+        ]
+    assert len(set(plans)) == 1
+
+
+def test_every_depth_around_a_round(spark):
+    documents = [nested(depth) for depth in range(12)] + [[[[[[[[["x"]]]]]]]]]
+    found = paths(spark, *documents)
+    assert [row for row in found if row[1] == "int"] == sorted((".".join("k" * d), "int", None) for d in range(12))
+    assert ("[0]" * 8, "str", None) in found and len([row for row in found if row[1] == "list"]) == 8
+
+
 def test_profile(spark):
     rows = spark.createDataFrame([('{"a":[1,2]}',), ('{"a":[1]}',), ('{"a":5}',)], "text string")
     profile = json_shape_profile(rows.select(F.parse_json("text").alias("raw"))).collect()

@@ -142,6 +142,19 @@ def test_table_views(spark, tmp_path):
     assert [row.comment_id for row in spark.sql("SELECT * FROM comments").collect()] == ["a"]
 
 
+def test_registry_with_quoted_line_breaks(spark, tmp_path):
+    (tmp_path / "clients.csv").write_bytes(
+        b'\xef\xbb\xbfclient,tiktok,instagram\r\n'
+        b'"Two\nlines",https://x/@two,"a\r\n\r\nb, ""c"""\r\n'
+        b'plain,https://x/@plain,\r\n'
+        b'"""","https://x/@quote\n","\n"\r\n'
+    )
+    rows = registry_scan(spark, str(tmp_path / "clients.csv")).orderBy("row_ord").collect()
+    assert [(row.client, row.handle, row.instagram) for row in rows] == [
+        ("Two\nlines", "two", 'a\n\nb, "c"'), ("plain", "plain", None), ('"', "quote\n", "\n"),
+    ]
+
+
 def test_registry(spark, tmp_path):
     (tmp_path / "clients.csv").write_text(
         'instagram,client,tiktok\n'

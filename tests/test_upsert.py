@@ -4,7 +4,9 @@ import random
 
 import pytest
 
-from clipledger.operators.upsert import upsert_latest
+from pyspark.sql import functions as F
+
+from clipledger.operators.upsert import upsert_latest, with_arrival
 
 SCHEMA = "client string, id string, collected_at long, value int, ord int"
 
@@ -33,6 +35,27 @@ def test_ties_nulls_and_null_keys(spark):
     }
 
 
+@pytest.mark.parametrize("parts", [1, 7, 64])
+def test_arrival_settles_ties(spark, tmp_path_factory, parts):
+    """No order column: the row that stands later in the files wins, however rows are read and dealt."""
+    folder = tmp_path_factory.mktemp("arrival")
+    rng, rows = random.Random(3), []
+    for number in range(5):
+        some = [(rng.randrange(40), len(rows) + k) for k in range(300)]
+        rows += some
+        (folder / f"part-{number}.json").write_text("\n".join(f'{{"id":"k{key}","value":{v}}}' for key, v in some))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700" if parts == 64 else before)
+    try:
+        read = spark.read.schema("id string, value int").json(str(folder))
+        arrived = with_arrival(read).withColumn("client", F.lit("c")).withColumn("collected_at", F.lit(1))
+        found = upsert_latest(None, arrived.repartition(parts), "id")
+        assert found.columns == ["id", "value", "client", "collected_at"]
+        assert {(row.id, row.value) for row in found.collect()} == set({f"k{key}": v for key, v in rows}.items())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_empty_inputs(spark):
     assert merged(spark, [], []) == set()
     assert merged(spark, [("c", "a", 1, 1, 0)], []) == {("c", "a", 1, 1, 0)}
