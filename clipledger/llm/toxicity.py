@@ -23,12 +23,16 @@ MAX_LABELLED = 200_000
 MIN_TEXTS = 3
 #: Log-odds an entry must reach.
 MIN_WEIGHT = 2.0
+#: Texts whose candidates a task counts before it passes them on.
+TOGETHER = 1000
 #: Clean texts, without a toxic one, that make a phrase an exception.
 MIN_EXCEPTION = 3
 #: Parts of the labelled rows; a lexicon without a part measures the part for the curve.
 FOLDS = 5
 #: Lengths of word beginnings that may become entries.
 PREFIXES = range(3, 9)
+#: Characters of a word that are looked at where signs end it.
+LONGEST = 64
 #: Powers of the number of words that the sum of weights may be divided by.
 POWERS = (0.0, 0.25, 0.5, 0.75, 1.0)
 
@@ -41,8 +45,9 @@ _LOOKALIKES = {
 # Digits and signs written for letters.
 _DIGITS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"}
 _LETTER = r"[^\W\d_]"
-#: Words that may be written for others in whole: signs at their end, or look-alike letters only.
-_SIGNED = re.compile(rf"(?<![\w@$!]){_LETTER}[\w@$!]*[013457@$!](?![\w@$!])")
+#: Signs at a word's end, and what stands before them up to its beginning. The end is looked for first: it is rare.
+_SIGNED = re.compile(r"[013457@$!](?![\w@$!])")
+_BEFORE = re.compile(r"[\w@$!]*$")
 _IN_WORD = re.compile(rf"(?<={_LETTER})[013457@$!]+(?={_LETTER})|(?<![\w@$!])[013457@$]{{1,2}}(?={_LETTER})")
 _INVISIBLE = re.compile("[­​-‍⁠﻿]")
 _ODD = re.compile("[" + "".join(_LOOKALIKES) + "Ａ-Ｚａ-ｚ]")
@@ -67,7 +72,12 @@ def fold(text: str) -> str:
 def readings(text: str) -> list[str]:
     """What words with signs at their end, and words wholly in look-alike letters, may stand for; of four letters or more."""
     text = text.lower()
-    found = [m[0].translate(_SPOKEN) for m in _SIGNED.finditer(text)]
+    found = []
+    for m in _SIGNED.finditer(text):
+        since = max(m.start() - LONGEST, 0)
+        before = _BEFORE.search(text, since, m.end())
+        if before[0][0].isalpha() and (before.start() > since or not since):
+            found.append(before[0].translate(_SPOKEN))
     if not text.isascii() and _ODD.search(text):
         found += [word for m in _ALIKE.finditer(text) if (word := m[0].translate(_FOLDED)).isascii()]
     return [word for word in found if len(word) > 3]
@@ -224,14 +234,15 @@ def learn(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED)
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for one, some in batch.groupby("part"):
-                bad, good = Counter(), Counter()
-                for text, toxic in zip(some["text"], some["toxic"]):
-                    (bad if toxic else good).update(_candidates(fold(text)))
-                # An entry that no toxic text of the batch has is needed for its clean count all the same.
-                entries = list(bad.keys() | good.keys())
-                yield pd.DataFrame(
-                    {"entry": entries, "part": one, "bad": [bad[e] for e in entries], "good": [good[e] for e in entries]}
-                )
+                for at in range(0, len(some), TOGETHER):
+                    bad, good = Counter(), Counter()
+                    for text, toxic in zip(some["text"].iloc[at : at + TOGETHER], some["toxic"].iloc[at : at + TOGETHER]):
+                        (bad if toxic else good).update(_candidates(fold(text)))
+                    # An entry that no toxic text of the batch has is needed for its clean count all the same.
+                    entries = list(bad.keys() | good.keys())
+                    yield pd.DataFrame(
+                        {"entry": entries, "part": one, "bad": [bad[e] for e in entries], "good": [good[e] for e in entries]}
+                    )
 
     def without(column: str, one: int) -> Column:
         return F.sum(F.when(F.col("part") != one, F.col(column)).otherwise(0)).alias(f"{column}_{one}")
@@ -299,14 +310,16 @@ def learn(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED)
 def _learn_exceptions(train: DataFrame, lexicon: Lexicon, parts: list[Lexicon]) -> None:
     """Sets the exception phrases of the lexicon, and of those that are learned without a part."""
 
+    weights = [one.weights for one in (lexicon, *parts)]
+
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        machines = [one.automaton() for one in (lexicon, *parts)]
+        # Wherever any of them has an entry, whichever it is.
+        machine = Lexicon({entry: 1.0 for entries in weights for entry in entries}).automaton()
         for batch in batches:
             rows = Counter()
             for text, toxic, one in zip(batch["text"], batch["toxic"], batch["part"]):
                 folded = fold(text)
-                places = {at for machine in machines for at in matches(folded, machine)}
-                rows.update({(phrase, one, int(toxic)) for at in places for phrase in phrases(folded, at)})
+                rows.update({(phrase, one, int(toxic)) for at in matches(folded, machine) for phrase in phrases(folded, at)})
             yield pd.DataFrame([(*key, n) for key, n in rows.items()], columns=["phrase", "part", "toxic", "n"])
 
     def among(toxic: int, without: int | None) -> Column:

@@ -1,3 +1,4 @@
+import math
 import zlib
 
 import pytest
@@ -38,6 +39,42 @@ def scores(spark, lexicon, texts):
     return [r.s for r in docs.select("doc_id", T.toxicity_score(lexicon).alias("s")).orderBy("doc_id").collect()]
 
 
+def plain_score(lexicon, text):
+    """The score by a loop over words and entries."""
+    words, found = T.fold(text or "").split(), {}
+
+    def best(word):
+        fits = [
+            (-weight, len(entry), entry)
+            for entry, weight in lexicon.weights.items()
+            if (word == entry.strip() if entry.endswith(" ") else word.startswith(entry.strip()))
+        ]
+        return min(fits)[2] if fits else None
+
+    for k, word in enumerate(words):
+        entry = best(word)
+        phrases = [" ".join(words[k - 1 : k + 1])] * (k > 0) + [" ".join(words[k : k + 2])] * (k + 1 < len(words))
+        if entry and not lexicon.exceptions.intersection(phrases):
+            found[entry] = lexicon.weights[entry]
+    for word in T.readings(text or ""):
+        entry = best(word)
+        if entry:
+            found[entry] = lexicon.weights[entry]
+    x = lexicon.slope * sum(found.values()) / max(len(words), 1) ** lexicon.power + lexicon.intercept
+    return 1 / (1 + math.exp(-min(max(x, -30), 30)))
+
+
+def test_like_a_plain_scorer(spark, learned):
+    texts = [r[1] for r in awkward()] + [text for _, text in corpus()[0]]
+    texts += ["grumbulous grumbulous", "grumbul0us grumbulou5 xx grumb", "stone grumbulish$ table", "grumbulou5, a b", None]
+    for found, text in zip(scores(spark, learned, texts), texts):
+        assert abs(found - plain_score(learned, text)) < 1e-9
+
+
+def test_signs_at_the_end_and_whole_words_in_other_letters():
+    assert T.readings("that hat3 a55 slu7! abcd3 mp3 сосо Москва") == ["hate", "sluti", "abcde", "coco", "mockba"]
+
+
 def test_lexicon(learned):
     assert any("grumbulous".startswith(entry.strip()) for entry in learned.weights)
     assert all(not "river".startswith(entry.strip()) for entry in learned.weights)
