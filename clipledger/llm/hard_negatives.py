@@ -27,7 +27,7 @@ BLOCK_ROWS = 8192
 QUERIES_TOGETHER = 8192
 #: Ratio of covering radii from one level of a tree to the next, and rows of a leaf.
 RATIO = 1.5
-LEAF_ROWS = 48
+LEAF_ROWS = 96
 #: Added to angles, against rounding.
 SLACK = 1e-6
 SCALE = 256
@@ -412,8 +412,12 @@ class Index:
                     block["centres"],
                     sphere,
                 )
-                for pack in right.column("queries"):
-                    asked = pack.as_py()
+                packs = right.column("queries").to_pylist()
+                if packs:
+                    # All queries of the cell at once; windows of later packs belong to later queries.
+                    asked = {name: [one for pack in packs for one in pack[name]] for name in packs[0]}
+                    before = np.cumsum([0, *(len(pack["class"]) for pack in packs)])
+                    asked["owner"] = [at + int(first) for pack, first in zip(packs, before) for at in pack["owner"]]
                     rows = matrix(asked["vector"])
                     directions, reach = sphere.queries(rows)
                     owner, labels, classes = (np.array(asked[name], np.int64) for name in ("owner", "label", "class"))
