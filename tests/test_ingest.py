@@ -160,35 +160,6 @@ def test_many_batches_in_any_order(spark, tmp_path):
     assert len(list((state / "pages").glob("batch=*"))) < 4
 
 
-def read_bytes(spark):
-    # Bytes that finished stages have read from files so far.
-    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
-    stages = spark.sparkContext._jsc.sc().statusStore().stageList(None, False, False, spark.sparkContext._gateway.new_array(spark._jvm.double, 0), None)
-    return sum(stages.apply(k).inputBytes() for k in range(stages.size()))
-
-
-def test_batches_read_what_is_new(spark, tmp_path):
-    """Twenty batches of one crawl of one long video: what a batch reads does not grow with what landed before."""
-    landing, root, state = (tmp_path / name for name in ("landing", "tables", "state"))
-    landing.mkdir()
-    rows = landed_rows(videos=1, pages=60)
-    profile, pages = rows[0], rows[1:-1]
-    for row in pages:
-        body = json.loads(row["body"])
-        for item in body["comments"]:
-            item["text"] = "".join(random.Random(item["cid"]).choices("abcdefghij", k=20_000))
-        row["body"] = json.dumps(body)
-    sizes = []
-    for number in range(20):
-        share = pages[3 * number : 3 * number + 3] + ([profile] if number == 0 else [])
-        (landing / f"{number:02d}.json").write_text("\n".join(map(json.dumps, share)))
-        before = read_bytes(spark)
-        ingest_incremental(spark, str(landing), str(root), str(state))
-        sizes.append(read_bytes(spark) - before)
-    assert ingest.current_comments(spark, str(root)).count() == 120
-    assert max(sizes[10:]) < 1.5 * max(sizes[1:5]), sizes
-
-
 def test_replayed_batch_changes_nothing(spark, tmp_path):
     landing, root, state = (tmp_path / name for name in ("landing", "tables", "state"))
     landing.mkdir()
