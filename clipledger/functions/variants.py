@@ -118,6 +118,17 @@ def _quoted(text: Column) -> Column:
     return F.when(doubled, F.concat(F.lit('"'), escaped, F.lit('"'))).otherwise(single)
 
 
+def kind_and_size(value: Column) -> tuple[Column, Column]:
+    """Short type name as ``type_name`` gives it, and how many entries an object or list has (0 for others).
+
+    The type of a whole subtree is asked for scalars only: following a document level by level would otherwise
+    describe all that lies below once per level, which is quadratic in its depth.
+    """
+    n_fields, n_elements = F.size(fields(value)), F.size(elements(value))
+    kind = F.when(n_fields >= 0, "dict").when(n_elements >= 0, "list").otherwise(type_name(value))
+    return kind, F.greatest(n_fields, n_elements, F.lit(0))
+
+
 def type_name(value: Column, preview: bool = False, length: int | None = None) -> Column:
     """Short type name of a JSON value: null, bool, int, float, str, list or dict.
 

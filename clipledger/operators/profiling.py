@@ -31,12 +31,11 @@ def _expanded(path: Column, value: Column, max_keys: int | None) -> Column:
     yes, no = F.lit(True), F.lit(False)
 
     def member(entry: Column) -> Column:
-        kind = V.type_name(entry["value"])
+        kind, size = V.kind_and_size(entry["value"])
         inner = F.when(path == "", entry["key"]).otherwise(
             F.concat(path, F.lit("."), entry["key"])
         )
-        follow = kind.isin("dict", "list") & V.truthy(entry["value"])
-        return _node(inner, entry["value"], kind, nothing, follow)
+        return _node(inner, entry["value"], kind, nothing, size > 0)
 
     members = F.map_entries(V.fields(value))
     cut = _node(F.concat(path, F.lit(".…")), no_value, F.lit("more keys"), nothing, no)
@@ -56,6 +55,7 @@ def _expanded(path: Column, value: Column, max_keys: int | None) -> Column:
     of_list = F.when(F.size(listed) > 0, F.array(itself, first)).when(
         listed.isNotNull(), F.array(itself)
     )
+    # Objects and lists are settled above; what reaches this has a name that needs no walk.
     of_scalar = F.array(_node(path, no_value, V.type_name(value), nothing, no))
     return F.coalesce(of_dict, of_list, of_scalar)
 

@@ -3,6 +3,7 @@ import re
 
 from pyspark.sql import functions as F
 
+from clipledger.functions import variants as V
 from clipledger.operators.profiling import first_video_link, json_paths, json_shape_profile
 
 
@@ -92,3 +93,15 @@ def test_first_video_link(spark):
     assert [row.first_video_url for row in found] == [
         wanted and f"https://www.tiktok.com/@me/video/{wanted}" for _, wanted in cases
     ]
+
+
+def test_following_walks_no_subtree_for_its_type(spark):
+    """Each level asks for the entries of a node, not for the text or type of all that lies below it."""
+    values = ["null", "true", "0", "1.5", '""', '"x"', "{}", "[]", '{"a":{}}', "[[]]", "12345678901234567890"]
+    rows = spark.createDataFrame([(text,) for text in values], "text string").select(F.parse_json("text").alias("raw"))
+    kind, size = V.kind_and_size(F.col("raw"))
+    follow = V.type_name(F.col("raw")).isin("dict", "list") & V.truthy(F.col("raw"))
+    for row in rows.select(kind.alias("kind"), V.type_name(F.col("raw")).alias("name"), (size > 0).alias("open"), follow.alias("follow")).collect():
+        assert (row.kind, row.open) == (row.name, row.follow)
+    plan = json_paths(rows, max_depth=4)._jdf.queryExecution().optimizedPlan().toString()
+    assert "to_json" not in plan
