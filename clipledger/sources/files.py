@@ -32,6 +32,12 @@ def has_data(spark: SparkSession, pattern: str) -> bool:
     return False
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of a file or folder."""
+    fs, target = _file_system(spark, path)
+    return fs.getContentSummary(target).getLength()
+
+
 def remove(spark: SparkSession, path: str) -> None:
     fs, target = _file_system(spark, path)
     fs.delete(target, True)
