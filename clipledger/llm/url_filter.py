@@ -13,6 +13,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clipledger.llm.support import discard, stage
+
 #: Segments of a path that are nodes of their own; what follows them is one last segment.
 DEPTH = 32
 #: Turns of generalisation: a variable below a variable is found one turn later.
@@ -113,15 +115,18 @@ def templates(pages: DataFrame) -> DataFrame:
     """Per host and look: its template in the host's tree, and counts of pages, labelled and blocked pages.
 
     ``pages`` has host, look (segments from ``shapes``) and blocked (1, 0 or null if unlabelled). Pages
-    are counted per look before anything is shuffled, so a host with most pages is a few rows.
+    are counted per look before anything is shuffled, so a host with most pages is a few rows. Counts are stored, and so is
+    each turn: a turn reads the one before three times, and a plan of all turns would hold every one of them 27 times.
     """
     looks = (
         pages.groupBy("host", "look")
         .agg(F.count("*").alias("pages"), F.count("blocked").alias("labelled"), F.coalesce(F.sum("blocked"), F.lit(0)).alias("bad"))
         .withColumn("template", _bounded(F.col("look")))
     )
+    looks = stage(looks, "looks")
     for _ in range(TURNS):
-        looks = _generalised(looks)
+        before, looks = looks, stage(_generalised(looks), "looks")
+        discard(before)
     return looks.select("host", "look", "template", "pages", "labelled", "bad")
 
 

@@ -83,3 +83,11 @@ def test_empty_and_native(spark):
     assert out.collect() == []
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "Arrow", "Cartesian", "NestedLoop"))
+
+
+def test_turns_are_stored(spark):
+    rows = [(k, f"http://a.b/x{k}/y{k}/{k}", k % 2) for k in range(40)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, bad int")
+    plan = U.judge_urls(pages, (), label="bad")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") <= 10  # 127 when every turn held the ones before three times
+    assert plan.count("Generate posexplode") == 0
