@@ -53,7 +53,8 @@ def upsert_latest(
             parts, allowMissingColumns=True
         )
     recency = [F.desc_nulls_first("collected_at")] if "collected_at" in columns else []
-    latest = Window.partitionBy(*scope, key).orderBy(
+    # The key leads: it tells more rows apart than the scope, and sorting compares it first.
+    latest = Window.partitionBy(key, *scope).orderBy(
         *recency, F.desc("_incoming"), *[F.desc(name) for name in order]
     )
     return (
