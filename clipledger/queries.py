@@ -97,12 +97,14 @@ def _spoken(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_comments(R.as_items(R.spoken_comments(spark, sf_dir)))
 
 
-def _usable_pages(envelopes: DataFrame) -> DataFrame:
-    return P.page_fields(usable(route_responses(from_envelopes(envelopes))))
+def _usable_pages(spark: SparkSession, envelopes: DataFrame, *unread: str) -> DataFrame:
+    """Usable pages, built and parsed once: stitching reads their paging fields, and then the pages themselves."""
+    pages = P.page_fields(usable(route_responses(from_envelopes(envelopes))))
+    return _stored(spark, pages.drop(*unread), "pages")
 
 
-def _stitched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.page_stitch(_usable_pages(R.comment_pages(spark, sf_dir)))
+def _stitched(spark: SparkSession, sf_dir: str, *unread: str) -> DataFrame:
+    return P.page_stitch(_usable_pages(spark, R.comment_pages(spark, sf_dir), *unread))
 
 
 def _seen(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -401,7 +403,7 @@ def response_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
     "CAST(count(*) AS INTEGER) AS n_items FROM paged GROUP BY ALL"
 )
 def page_stitch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _stitched(spark, sf_dir).select("video_id", "page_seq", "n_items")
+    return _stitched(spark, sf_dir, "items").select("video_id", "page_seq", "n_items")
 
 
 _ITEM = "video_id, CASE WHEN landed THEN comment_id END AS comment_id, text"
@@ -436,9 +438,9 @@ _THREADS = X.THREADS.format(tops=THREAD_BOUND, replies=REPLY_BOUND)
     "coalesce(parent, '') AS thread_id FROM thread_items"
 )
 def reply_expand_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tops = P.page_items(P.page_stitch(_usable_pages(R.thread_comment_pages(spark, sf_dir))))
+    tops = P.page_items(P.page_stitch(_usable_pages(spark, R.thread_comment_pages(spark, sf_dir))))
     kept = P.bounded_take(P.first_seen(tops, COMMENTS.id_keys), THREAD_BOUND)
-    expanded = reply_expand(kept, _usable_pages(R.reply_pages(spark, sf_dir)), REPLY_BOUND)
+    expanded = reply_expand(kept, _usable_pages(spark, R.reply_pages(spark, sf_dir)), REPLY_BOUND)
     return _item_columns(expanded, "is_reply", "thread_id")
 
 
@@ -452,9 +454,9 @@ _ALL_THREADS = X.THREADS.format(tops=_ALL, replies=_ALL)
     "coalesce(parent, '') AS thread_id FROM thread_items"
 )
 def reply_expand_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tops = P.page_items(P.page_stitch(_usable_pages(R.thread_comment_pages(spark, sf_dir))))
+    tops = P.page_items(P.page_stitch(_usable_pages(spark, R.thread_comment_pages(spark, sf_dir))))
     kept = P.first_seen(tops, COMMENTS.id_keys)
-    expanded = reply_expand(kept, _usable_pages(R.reply_pages(spark, sf_dir)))
+    expanded = reply_expand(kept, _usable_pages(spark, R.reply_pages(spark, sf_dir)))
     return _item_columns(expanded, "is_reply", "thread_id")
 
 

@@ -4,6 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from clipledger.fixtures import raw as R
+from clipledger.operators import paging as P
+from clipledger.operators.upsert import upsert_latest
 from clipledger.plans.collect import under_parsed_ids
 from clipledger.queries import QUERIES
 from tests.test_plans import SF_DIR, plan_of
@@ -42,3 +44,28 @@ def test_items_are_joined_only_where_an_id_changed(spark):
     assert under_parsed_ids(collected, same).collect() == collected.collect()
     found = under_parsed_ids(collected, moved).select("item", "video_id").orderBy(F.col("item")).collect()
     assert [tuple(row) for row in found] == [("x", "1"), ("y", "0")]
+
+
+@pytest.mark.parametrize("name", ["page_stitch", "first_seen", "reply_expand_threads"])
+def test_pages_are_built_once(spark, name):
+    """Stitching reads pages twice, so they are stored first."""
+    plan = plan_of(QUERIES[name](spark, SF_DIR))
+    assert "collect_list" not in plan and "lineitem" not in plan
+
+
+def test_sorts_begin_with_what_tells_rows_apart(spark, documents):
+    items = documents('{"cid":"a"}').select(*[F.lit("r").alias(name) for name in P.REQUEST], "item", F.lit(1).alias("ord"))
+    assert "Sort [_key" in plan_of(P.first_seen(items, ("cid", "id")))
+    rows = spark.createDataFrame([("c", "1", 1)], "client string, video_id string, collected_at int")
+    assert "Sort [video_id" in plan_of(upsert_latest(None, rows, "video_id"))
+
+
+def test_keys_of_odd_ids(documents):
+    texts = ['{"cid":5}', '{"cid":"5"}', '{"cid":0,"id":"a"}', '{"cid":null,"id":null}', '{"cid":"","id":"null"}', '{"cid":{}}',
+             '{"cid":[1],"id":2}', '[1]', '"x"', "{}", '{"id":0}', '{"cid":"0","id":1}']
+    items = documents(*texts).select("*", F.lit("r").alias("run_id"))
+    for keys in (("cid", "id"), ("id", "cid"), ("cid", "cid"), ("CID", "cid")):
+        place = F.concat(F.lit("#/"), F.col("n").cast("string"))
+        wanted = items.select("n", F.coalesce(F.to_json(P.item_id(F.col("item"), keys)), place))
+        found = P.first_keyed(items, keys, ("n",), ("n",)).select("n", "_key")
+        assert sorted(map(tuple, found.collect())) == sorted(map(tuple, wanted.collect()))
