@@ -8,7 +8,8 @@ the blocks, and the ids of a document follow by position. Decoding looks every i
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clipledger.llm.support import encoding, rank_table, text_or_empty
+from clipledger.llm.support import encoding, give_back, pieces, rank_table, text_or_empty
 
 #: A block ends once it holds so many characters.
 BLOCK_CHARS = 8_000_000
@@ -115,7 +116,7 @@ def _blocks(pattern: str, block_chars: int, slots: int):
             )
 
         keys, codes, number, chars = [], [], {}, 0
-        for batch in batches:
+        for batch in (part for whole in batches for part in pieces(whole)):
             for key, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 found = split(text)
                 keys.append(key)
@@ -128,6 +129,8 @@ def _blocks(pattern: str, block_chars: int, slots: int):
                     keys, codes, number, chars = [], [], {}, 0
         if keys:
             yield close(keys, codes, number)
+            keys, codes, number = [], [], {}
+        give_back()
 
     return cut
 
@@ -163,6 +166,8 @@ def _encode_slot(path: str, pattern: str):
                     known = ids[word] = np.array(piece(word), dtype="<u4").tobytes()
                 coded.append(known)
             out.append(_pack_ragged(coded))
+        ids.clear()
+        give_back()
         return pa.table(
             {
                 "block": table.column("block"),
@@ -223,6 +228,41 @@ def encode(
     dropped; no rows give no rows. A word of any length is one pre-token and is encoded in one piece. A document larger
     than ``block_chars`` is a block of its own.
     """
+    return _put_together(docs, path, pattern, block_chars, task_words, _assemble, "doc_id long, ids array<int>")
+
+
+def encode_digests(
+    docs: DataFrame,
+    path: str,
+    pattern: str,
+    keep_ids: bool = False,
+    block_chars: int = BLOCK_CHARS,
+    task_words: int = TASK_WORDS,
+) -> DataFrame:
+    """``digests(encode(...))``, with the digests made where a block is put together.
+
+    A task that only hands its ids on to the next one needs two Python workers, and passes all ids through the JVM between them.
+    """
+
+    def finish(body: pa.Table, coded: pa.Table) -> pa.Table:
+        encoded, table = _assemble(body, coded), token_bytes(path)
+        parts = [part for whole in encoded.to_batches() for part in _parts(whole)]
+        out = pa.Table.from_batches([_digest(part, table, keep_ids) for part in parts], _digest_kinds(keep_ids))
+        give_back()
+        return out
+
+    return _put_together(docs, path, pattern, block_chars, task_words, finish, _DIGESTS + _IDS * keep_ids)
+
+
+def _put_together(
+    docs: DataFrame,
+    path: str,
+    pattern: str,
+    block_chars: int,
+    task_words: int,
+    assemble: Callable[[pa.Table, pa.Table], pa.Table],
+    schema: str,
+) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     slots = max(SLOTS, _expected_words(docs) // task_words)
     # One exchange for documents and words, read twice as it is: every column goes to both readers.
@@ -231,7 +271,7 @@ def encode(
     return (
         routed.groupBy("route")
         .cogroup(coded.withColumnRenamed("block", "route").groupBy("route"))
-        .applyInArrow(_assemble, "doc_id long, ids array<int>")
+        .applyInArrow(assemble, schema)
     )
 
 
@@ -240,6 +280,7 @@ def _expected_words(docs: DataFrame) -> int:
     return (docs.agg(F.sum(F.octet_length("text").cast("long")).alias("n")).first()["n"] or 0) // 64
 
 
+@lru_cache(maxsize=4)
 def token_bytes(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The token-byte table as (start, length, bytes); ids without a token have length 0."""
     ranks = rank_table(path)
@@ -292,6 +333,32 @@ def _lists(column) -> tuple[np.ndarray, np.ndarray]:
     return column.flatten().to_numpy(zero_copy_only=False), np.concatenate([[0], np.cumsum(sizes)])
 
 
+_DIGESTS, _IDS = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string", ", ids array<int>"
+
+
+def _digest_kinds(keep_ids: bool) -> pa.Schema:
+    kinds = {"doc_id": pa.int64(), "n_tokens": pa.int64(), "ids_sha256": pa.string(), "decoded_sha256": pa.string()}
+    return pa.schema({**kinds, **({"ids": pa.list_(pa.int32())} if keep_ids else {})})
+
+
+def _digest(batch: pa.RecordBatch, table, keep_ids: bool) -> pa.RecordBatch:
+    flat, offsets = _lists(batch.column("ids"))
+    ids, at = flat.astype("<u4").tobytes(), (4 * offsets).tolist()
+    data, ends = _decoded(flat, offsets, table)
+    data, ends = data.tobytes(), ends.tolist()
+    sha = hashlib.sha256
+    return pa.RecordBatch.from_arrays(
+        [
+            batch.column("doc_id"),
+            pa.array(np.diff(offsets)),
+            pa.array([sha(ids[a:b]).hexdigest() for a, b in zip(at, at[1:])], type=pa.string()),
+            pa.array([sha(data[a:b]).hexdigest() for a, b in zip(ends, ends[1:])], type=pa.string()),
+            *([batch.column("ids")] if keep_ids else []),
+        ],
+        names=_digest_kinds(keep_ids).names,
+    )
+
+
 def digests(encoded: DataFrame, path: str, keep_ids: bool = False) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of encoded documents, decoding the ids through the token-byte table.
 
@@ -300,22 +367,7 @@ def digests(encoded: DataFrame, path: str, keep_ids: bool = False) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = token_bytes(path)
-        sha = hashlib.sha256
         for batch in (part for whole in batches for part in _parts(whole)):
-            flat, offsets = _lists(batch.column("ids"))
-            ids, at = flat.astype("<u4").tobytes(), (4 * offsets).tolist()
-            data, ends = _decoded(flat, offsets, table)
-            data, ends = data.tobytes(), ends.tolist()
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    pa.array(np.diff(offsets)),
-                    pa.array([sha(ids[a:b]).hexdigest() for a, b in zip(at, at[1:])], type=pa.string()),
-                    pa.array([sha(data[a:b]).hexdigest() for a, b in zip(ends, ends[1:])], type=pa.string()),
-                    *([batch.column("ids")] if keep_ids else []),
-                ],
-                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *(["ids"] if keep_ids else [])],
-            )
+            yield _digest(batch, table, keep_ids)
 
-    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return encoded.select("doc_id", "ids").mapInArrow(run, schema + ", ids array<int>" * keep_ids)
+    return encoded.select("doc_id", "ids").mapInArrow(run, _DIGESTS + _IDS * keep_ids)

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clipledger.llm.components import connected
-from clipledger.llm.support import LOWER, PIECE_BYTES, Words, discard, gram_hashes, mixed, pieces, stage, utf8_texts
+from clipledger.llm.support import LOWER, PIECE_BYTES, Words, discard, give_back, gram_hashes, mixed, pieces, stage, utf8_texts
 
 SHINGLE = 5
 #: Bits of a shingle's hash by which it is counted; a collision only moves a shingle in the order.
@@ -140,6 +140,7 @@ def _signatures(carry: list[str]):
                         names=names,
                     )
                     number += 1
+        give_back()
 
     return run
 
@@ -178,6 +179,7 @@ def _chunks(ranges: int):
                     ],
                     names=["cells", "piece", "steps"],
                 )
+        give_back()
 
     return run
 
@@ -200,6 +202,8 @@ def _counted(table: pa.Table) -> pa.Table:
     codes = _codes(count)[which]
     ends = np.cumsum([len(part) for part in parts]).tolist()
     packed = [packer.compress(codes[end - len(part) : end].tobytes()) for part, end in zip(parts, ends)]
+    del parts, which, count, codes
+    give_back()
     return pa.table(
         {"piece": table.column("piece"), "cells": table.column("cells"), "codes": pa.array(packed, pa.binary())}
     )
@@ -241,6 +245,7 @@ def _prefixes(piece: pa.Table, counts: pa.Table) -> pa.Table:
                 nodes.append(np.full(len(first), sets.a[at]))
                 bands.append(np.full(len(first), size_band(len(one)), np.int32))
                 held.append((int(sets.a[at]), int(sets.b[at]), packer.compress(texts[at])))
+    give_back()
     found, more = np.concatenate(grams).view(np.int64), len(held)
     a, b, packed = zip(*held) if held else ((), (), ())
     none = len(found)

@@ -47,7 +47,7 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = vocabulary()
-    return bpe.digests(bpe.encode(tables(spark, sf_dir, "documents"), path, pattern), path)
+    return bpe.encode_digests(tables(spark, sf_dir, "documents"), path, pattern)
 
 
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from clipledger.llm.support import encoding, text_or_empty
+from clipledger.llm.support import encoding, give_back, text_or_empty
 
 # The three base patterns, and how long a match must be.
 ASSIGN = re.compile(
@@ -105,6 +105,7 @@ def secret_spans(
             yield pd.DataFrame(
                 rows, columns=["n_assign", "n_access", "n_hex", "n_token", "base_sha256", "spans"]
             )
+        give_back()
 
     return scan(text_or_empty(column))
 

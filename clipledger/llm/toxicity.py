@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clipledger.llm.support import stage, text_key, text_or_empty
+from clipledger.llm.support import give_back, stage, text_key, text_or_empty
 
 #: Labelled rows to learn from, at most: those with the smallest hash of doc_id.
 MAX_LABELLED = 200_000
@@ -351,6 +351,7 @@ def toxicity_score(lexicon: Lexicon, column: str | Column = "text") -> Column:
             total, words = np.array(seen, dtype=float).reshape(-1, 2).T
             x = lexicon.slope * _feature(total, words, lexicon.power) + lexicon.intercept
             yield pd.Series(1 / (1 + np.exp(-np.clip(x, -30, 30))))
+        give_back()
 
     return score(text_or_empty(column))
 

@@ -93,8 +93,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def encode_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids of every document, and the digests of ids and of the bytes they decode to."""
     path, pattern = vocabulary()
-    encoded = bpe.encode(docs, path, pattern)
-    return bpe.digests(encoded, path, keep_ids=True)
+    return bpe.encode_digests(docs, path, pattern, keep_ids=True)
 
 
 STAGES: list[tuple[str, Stage]] = [

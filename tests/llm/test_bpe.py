@@ -52,3 +52,32 @@ def test_empty(spark):
 def test_null_lists_decode_to_nothing(spark):
     lists = spark.createDataFrame([(1, None), (2, [])], "doc_id long, ids array<int>")
     assert {tuple(r) for r in bpe.decode(lists, PATH).collect()} == {(1, b""), (2, b"")}
+
+
+@pytest.mark.parametrize("keep_ids", [False, True])
+def test_digests_need_no_second_python_task(spark, keep_ids):
+    """Blocks are put together and digested by one worker; a second one beside it took the executor's memory."""
+    rows = awkward()
+    found = bpe.encode_digests(frame(spark, rows), PATH, PATTERN, keep_ids, 10_000, 50)
+    wanted = bpe.digests(bpe.encode(frame(spark, rows), PATH, PATTERN, 10_000, 50), PATH, keep_ids)
+    assert found.schema == wanted.schema
+    assert order(tuple(r) for r in found.collect()) == order(tuple(r) for r in wanted.collect())
+
+    def python_steps_at_the_end(frame):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        return plan[: plan.index("FlatMapCoGroupsInArrow")].count("MapInArrow")
+
+    assert python_steps_at_the_end(found) == 0 and python_steps_at_the_end(wanted) == 1
+    none = bpe.encode_digests(spark.createDataFrame([], SCHEMA), PATH, PATTERN, keep_ids)
+    assert none.collect() == [] and none.schema == wanted.schema
+
+
+def test_workers_give_back_what_they_no_longer_use():
+    from clipledger.llm import support
+
+    support.Words([b"a b" * 100_000], support.LOWER)
+    assert len(support._POWERS.up) > 1
+    support.give_back()
+    assert len(support._POWERS.up) == len(support._POWERS.down) == 1
+    words = support.Words([b"a b"], support.LOWER)
+    assert words.text(0, 2) == "a b" and len(words.hashes) == 2
