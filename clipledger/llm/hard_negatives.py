@@ -3,8 +3,10 @@
 Candidates get one component more, the root of M * M less their squared norm, so that all lie on a sphere of radius M, the
 largest norm; queries get a zero there. Inner products stay as they were, and between a query at angle t from a node's centre
 and candidates within angle r of it they lie from |q| M cos(t + r) to |q| M cos(t - r). Pivots from a bounded sample deal all
-candidates into cells with exact radii; cells are cut into blocks of bounded size, and each block is a cover tree. A query opens
-cells, then nodes, whose bounds reach what it looks for, best first, and verifies leaves by integer inner products.
+candidates into cells with exact radii; cells are cut into blocks of bounded size, and each block is a cover tree, down to where
+its nodes would hold too few rows to be worth a bound. Queries open cells, then nodes, whose bounds reach what they look for,
+best first, and all queries of a leaf meet its rows in one matrix product of whole numbers. What a query looks for begins
+where the sample already has as many such rows.
 """
 
 from __future__ import annotations
@@ -23,16 +25,20 @@ from clipledger.llm.support import stage
 SAMPLE_ROWS = 4096
 PIVOTS = 64
 #: Candidates of a block, about, and queries that meet a block in one task.
-BLOCK_ROWS = 8192
+BLOCK_ROWS = 16384
 QUERIES_TOGETHER = 8192
 #: Ratio of covering radii from one level of a tree to the next, and rows of a leaf.
 RATIO = 1.5
 LEAF_ROWS = 96
+#: Rows that children hold on average, at least: a bound costs more than an inner product, so nodes that fall into smaller ones are leaves.
+CHILD_ROWS = 32
+#: Inner products that are made at a time.
+PRODUCTS = 1 << 18
 #: Added to angles, against rounding.
 SLACK = 1e-6
 SCALE = 256
-#: Products and sums of whole numbers below this are exact in doubles.
-EXACT = float(1 << 53)
+#: Whole numbers below this are exact, the shorter type first.
+EXACT = {np.float32: 0.99 * (1 << 24), np.float64: 0.99 * (1 << 53)}
 
 _ROW = "vec_id long, label long, vector binary, norm double"
 #: Queries that are routed at a time.
@@ -61,23 +67,36 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def matrix(vectors: list[bytes], width: int = 0) -> np.ndarray:
     """Rows of whole numbers as doubles where all inner products of such rows are exact so, else as Python integers."""
-    width = max([width, *(len(vector) // 8 for vector in vectors)])
-    out = np.zeros((len(vectors), width), np.int64)
-    for row, vector in zip(out, vectors):
-        row[: len(vector) // 8] = np.frombuffer(vector, "<i8")
-    largest = float(np.abs(out.astype(np.float64)).max(initial=0))
-    return out.astype(np.float64) if largest * largest * max(width, 1) < EXACT else out.astype(object)
+    sizes = {len(vector) // 8 for vector in vectors}
+    width = max([width, *sizes])
+    if sizes == {width}:
+        out = np.frombuffer(b"".join(vectors), "<i8").reshape(len(vectors), width)
+    else:
+        out = np.zeros((len(vectors), width), np.int64)
+        for row, vector in zip(out, vectors):
+            row[: len(vector) // 8] = np.frombuffer(vector, "<i8")
+    doubles = out.astype(np.float64)
+    largest = float(np.abs(doubles).max(initial=0))
+    return doubles if largest * largest * max(width, 1) < EXACT[np.float64] else out.astype(object)
 
 
-def most(rows: np.ndarray) -> float:
-    return float(np.abs(rows).max()) if rows.size else 0.0
+def longest(rows: np.ndarray) -> float:
+    """The greatest norm."""
+    return math.sqrt(float(np.square(rows.astype(np.float64)).sum(axis=1).max(initial=0)))
+
+
+def exact_type(of_rows: float, of_queries: float) -> type | None:
+    """A float type that holds all inner products without rounding, given the greatest norms: whatever part of a product's terms
+    is summed first, the sum is a whole number no greater than the product of the norms. None if there is no such type."""
+    return next((kind for kind, limit in EXACT.items() if of_rows * of_queries < limit), None)
 
 
 def products(rows: np.ndarray, queries: np.ndarray, exact: bool) -> np.ndarray:
-    """Inner products (queries, rows) as 64-bit integers; beyond these the nearest one. ``exact``: doubles hold them without rounding."""
+    """Inner products (queries, rows). ``exact``: whole numbers of the arrays' type, which holds them without rounding; else 64-bit
+    integers, beyond these the nearest one."""
     width = min(rows.shape[1], queries.shape[1])
     if exact:
-        return (queries[:, :width] @ rows[:, :width].T).astype(np.int64)
+        return queries[:, :width] @ rows[:, :width].T
     low, high = -(1 << 63), (1 << 63) - 1
     whole = [
         [min(max(sum(int(a) * int(b) for a, b in zip(query[:width], row[:width])), low), high) for row in rows] for query in queries
@@ -124,7 +143,8 @@ def cover_tree(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """An order of the points, and nodes (centre, first place, place after the last, first child, children, radius).
 
     A node's points lie within its radius of its centre. Its children's centres cover them within the level's radius, which shrinks by
-    ``RATIO`` at least from a level to the next, and lie farther apart than that. Nodes of few points, or of equal ones, are leaves.
+    ``RATIO`` at least from a level to the next, and lie farther apart than that. Nodes of few points, of equal ones, or of points
+    that would fall into children of fewer than ``CHILD_ROWS`` on average, are leaves.
     """
     order = np.arange(len(points))
     nodes: list[list[float]] = []
@@ -147,9 +167,13 @@ def cover_tree(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             parts.append((lead, mine[rest[inside]], distance[inside]))
             rest = rest[~inside]
             if len(rest):
+                if (len(parts) + 1) * CHILD_ROWS > len(mine):
+                    break
                 lead = int(mine[rest[0]])
                 distance = angles(points[mine[rest]], points[lead])
                 distance[0] = 0
+        if len(rest):
+            continue
         nodes[at][3:5] = [len(nodes), len(parts)]
         place = since
         for lead, members, distance in parts:
@@ -164,8 +188,8 @@ class Block:
     """Candidates of one block as a cover tree, in the tree's order.
 
     A whole batch of queries goes down the tree level by level: a node is opened by the queries whose bounds it can still serve.
-    Of the leaves it reaches, each query then takes the one with the greatest bound first, and stops where no bound is left that
-    could improve what it has. Queries that take the same leaf at the same turn are verified by one product.
+    Each query is verified in the leaf with its greatest bound first; then leaf by leaf come the queries that it could still
+    improve. Queries that meet a leaf are verified by matrix products, each query once for all its windows.
     """
 
     def __init__(self, ids: np.ndarray, labels: np.ndarray, vectors: list[bytes], nodes: np.ndarray, centres: list[bytes], sphere: Sphere):
@@ -173,63 +197,133 @@ class Block:
         self.since, self.to, self.child, self.children = (nodes[:, k].astype(int) for k in (1, 2, 3, 4))
         self.radius = nodes[:, 5]
         self.centres = sphere.candidates(matrix(centres))
-        self.most = most(self.rows)
+        self.longest = longest(self.rows)
 
-    def _leaves(self, directions: np.ndarray, reach: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Leaves, and for each query its greatest possible score there; minus infinity where it need not look."""
+    def _leaves(
+        self, directions: np.ndarray, reach: np.ndarray, low: np.ndarray, high: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """First places of leaves and places after their last, and for each query its greatest possible score there; minus infinity
+        where it need not look. Small leaves beside each other are one."""
         leaves, tops = [], []
         level, open_ = np.array([0]), np.ones((len(reach), 1), bool)
         while len(level):
             angle = np.arccos(np.clip(directions @ self.centres[level].T, -1, 1))
             least, greatest = bounds(angle, self.radius[level], reach[:, None])
             open_ &= (greatest >= low[:, None]) & (least <= high[:, None])
-            ends = self.children[level] == 0
+            ends = (self.children[level] == 0) & open_.any(axis=0)
             leaves += level[ends].tolist()
             tops.append(np.where(open_, greatest, -np.inf)[:, ends])
-            inner = np.flatnonzero(~ends & open_.any(axis=0))
+            inner = np.flatnonzero((self.children[level] > 0) & open_.any(axis=0))
             count = self.children[level[inner]]
             open_ = np.repeat(open_[:, inner], count, axis=1)
             level = _ranges(self.child[level[inner]], count)
-        return np.array(leaves, int), np.concatenate(tops, axis=1)
+        by = np.argsort(self.since[leaves], kind="stable") if leaves else np.empty(0, int)
+        spans: list[list[int]] = []
+        firsts = []
+        for k, leaf in enumerate(np.array(leaves, int)[by].tolist()):
+            since, to = int(self.since[leaf]), int(self.to[leaf])
+            if spans and spans[-1][1] == since and to - spans[-1][0] <= LEAF_ROWS:
+                spans[-1][1] = to
+            else:
+                spans.append([since, to])
+                firsts.append(k)
+        top = np.concatenate(tops, axis=1)[:, by]
+        since, to = np.array(spans, int).reshape(-1, 2).T
+        return since, to, np.maximum.reduceat(top, firsts, axis=1) if firsts else top
+
+    def _meetings(self, since: int, to: int, some: np.ndarray, labels: np.ndarray, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Places of rows, and queries that look there: label by label, if they look for their own."""
+        places = np.arange(since, to)
+        if not same:
+            yield places, some
+            return
+        places = places[np.argsort(self.labels[since:to], kind="stable")]
+        some = some[np.argsort(labels[some], kind="stable")]
+        theirs, asked = self.labels[places], labels[some]
+        for label in np.unique(asked):
+            a, b = np.searchsorted(theirs, label), np.searchsorted(theirs, label, "right")
+            if b > a:
+                yield places[a:b], some[np.searchsorted(asked, label) : np.searchsorted(asked, label, "right")]
 
     def first(
-        self, queries: np.ndarray, directions: np.ndarray, reach: np.ndarray, labels: np.ndarray, low: np.ndarray, high: np.ndarray, same: bool, count: int
+        self,
+        queries: np.ndarray,
+        directions: np.ndarray,
+        reach: np.ndarray,
+        labels: np.ndarray,
+        low: np.ndarray,
+        high: np.ndarray,
+        same: bool,
+        count: int,
+        owner: np.ndarray | None = None,
     ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Scores and vec_ids, (queries, count), of each query's first rows of its label (or of other ones, unless ``same``)
-        with scores from ``low`` to ``high``; and which of them are there."""
-        scores, ids = (np.zeros((len(queries), count), np.int64) for _ in range(2))
-        held = np.zeros((len(queries), count), bool)
-        exact = self.most * most(queries) * max(queries.shape[1], 1) < EXACT
-        least = low.astype(np.float64)
-        leaves, tops = self._leaves(directions, reach, least, high.astype(np.float64))
-        order = np.argsort(-tops, axis=1, kind="stable")
-        waiting = np.arange(len(queries))
-        for turn in range(len(leaves)):
-            bound = tops[waiting, order[waiting, turn]]
-            waiting = waiting[(bound >= least[waiting]) & (bound > -np.inf)]
-            if not len(waiting):
-                break
-            taken = order[waiting, turn]
-            by = np.argsort(taken, kind="stable")
-            cuts = np.flatnonzero(np.diff(taken[by])) + 1
-            for some in np.split(waiting[by], cuts):
-                leaf = leaves[order[some[0], turn]]
-                a, b = self.since[leaf], self.to[leaf]
-                found = products(self.rows[a:b], queries[some], exact)
-                fits = (self.labels[a:b][None, :] == labels[some][:, None]) == same
-                fits &= (found >= low[some][:, None]) & (found <= high[some][:, None])
-                hits = np.flatnonzero(fits.any(axis=1))
-                if len(hits):
-                    mine = some[hits]
-                    all_scores = np.concatenate([scores[mine], found[hits]], axis=1)
-                    all_ids = np.concatenate([ids[mine], np.broadcast_to(self.ids[a:b], (len(hits), b - a))], axis=1)
-                    all_held = np.concatenate([held[mine], fits[hits]], axis=1)
-                    # Rows that don't fit come last, then smaller scores, then greater ids.
-                    best = np.lexsort((all_ids, ~all_scores, ~all_held), axis=1)[:, :count]
-                    for kept, from_all in ((scores, all_scores), (ids, all_ids), (held, all_held)):
-                        kept[mine] = np.take_along_axis(from_all, best, axis=1)
-                    full = mine[held[mine, -1]]
-                    least[full] = np.maximum(low[full], scores[full, -1])
+        """Scores and vec_ids, (windows, count), of the first rows of a query's label (or of other ones, unless ``same``)
+        with scores from ``low`` to ``high``; and which of them are there.
+
+        Each query has a window, or those that ``owner`` gives it, one at least, in the order of queries.
+        """
+        owner = np.arange(len(queries)) if owner is None else owner
+        since = np.searchsorted(owner, np.arange(len(queries)))
+        windows = np.diff(np.append(since, len(owner)))
+        scores, ids = (np.zeros((len(owner), count), np.int64) for _ in range(2))
+        held = np.zeros((len(owner), count), bool)
+        least = low.copy()
+        floor, ceiling = np.minimum.reduceat(least, since), np.maximum.reduceat(high, since)
+        kind = exact_type(self.longest, longest(queries))
+        rows, asked = (self.rows, queries) if kind is None else (self.rows.astype(kind), queries.astype(kind))
+
+        def keep(query: np.ndarray, place: np.ndarray, score: np.ndarray) -> None:
+            at = np.repeat(np.arange(len(query)), windows[query])
+            window = _ranges(since[query], windows[query])
+            fits = (score[at] >= least[window]) & (score[at] <= high[window])
+            window, at = window[fits], at[fits]
+            changed = np.unique(window)
+            old, nth = np.nonzero(held[changed])
+            old = changed[old]
+            window = np.concatenate([window, old])
+            score = np.concatenate([score[at], scores[old, nth]])
+            known = np.concatenate([self.ids[place[at]], ids[old, nth]])
+            # Smaller scores come last, then greater ids.
+            order = np.lexsort((known, ~score, window))
+            window = window[order]
+            rank = np.arange(len(window)) - np.searchsorted(window, window)
+            best = rank < count
+            window, rank, order = window[best], rank[best], order[best]
+            scores[window, rank], ids[window, rank], held[window, rank] = score[order], known[order], True
+            full = changed[held[changed, -1]]
+            least[full] = np.maximum(low[full], scores[full, -1])
+            floor[:] = np.minimum.reduceat(least, since)
+
+        def verify(begin: int, end: int, some: np.ndarray) -> None:
+            for places, mine in self._meetings(begin, end, some, labels, same):
+                here = rows[places]
+                step = max(1, PRODUCTS // len(places))
+                for at in range(0, len(mine), step):
+                    part = mine[at : at + step]
+                    found = products(here, asked[part], kind is not None)
+                    # Rounded bounds let through more at most; windows are held against whole numbers.
+                    fits = found >= floor[part].astype(found.dtype)[:, None]
+                    fits &= found <= ceiling[part].astype(found.dtype)[:, None]
+                    hits = np.flatnonzero(fits)
+                    score, query, place = found.ravel()[hits].astype(np.int64), part[hits // len(places)], places[hits % len(places)]
+                    if not same:
+                        other = self.labels[place] != labels[query]
+                        score, query, place = score[other], query[other], place[other]
+                    if len(score):
+                        keep(query, place, score)
+
+        begins, ends, tops = self._leaves(directions, reach, floor.astype(np.float64), ceiling.astype(np.float64))
+        if len(begins):
+            nearest = tops.argmax(axis=1)
+            all_ = np.arange(len(queries))
+            opens = tops[all_, nearest] > -np.inf
+            for leaf in np.unique(nearest[opens]):
+                verify(begins[leaf], ends[leaf], np.flatnonzero(opens & (nearest == leaf)))
+            tops[all_, nearest] = -np.inf
+            for leaf in np.argsort(-tops.max(axis=0), kind="stable"):
+                some = np.flatnonzero((tops[:, leaf] >= floor) & (tops[:, leaf] > -np.inf))
+                if len(some):
+                    verify(begins[leaf], ends[leaf], some)
         return scores, ids, held
 
 
@@ -343,6 +437,7 @@ class Index:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             known = matrix([vector for _, vector in sample])
             labels = np.array([label for label, _ in sample], np.int64)
+            largest = longest(known)
             for batch in batches:
                 for at in range(0, batch.num_rows, ROUTED):
                     part = batch.slice(at, ROUTED)
@@ -350,18 +445,17 @@ class Index:
                     rows = matrix(vectors)
                     directions, reach = sphere.queries(rows)
                     low, high = bounds(np.arccos(np.clip(directions @ centres.T, -1, 1)), radius, reach[:, None])
-                    if windows:
-                        asked = part.column("windows").to_pylist()
-                        opened = np.zeros(low.shape, bool)
-                        for k, some in enumerate(asked):
-                            for one in some:
-                                opened[k] |= (high[k] >= one["low"]) & (low[k] <= one["high"])
-                    else:
-                        # As many rows of the label as are looked for reach this in the sample alone.
-                        floors = [_floor(known[labels == label], row, count) for label, row in zip(own, rows)]
-                        asked = [[{"score": None, "low": floor, "high": (1 << 63) - 1}] for floor in floors]
-                        opened = high >= np.array(floors, np.float64)[:, None]
-                    out = []
+                    kind = exact_type(largest, longest(rows))
+                    scores = products(known, rows, False) if kind is None else products(known.astype(kind), rows.astype(kind), True)
+                    asked = part.column("windows").to_pylist() if windows else [[dict(_WHOLE)] for _ in ids]
+                    opened = np.zeros(low.shape, bool)
+                    for k, some in enumerate(asked):
+                        # As many rows as are looked for lie from here on in the sample alone.
+                        there = np.sort(scores[k][(labels == own[k]) != windows].astype(np.int64))
+                        for one in some:
+                            one["low"] = _raised(there, one["low"], one["high"], count)
+                            opened[k] |= (high[k] >= one["low"]) & (low[k] <= one["high"])
+                    packs, of_pack = [], []
                     for c in range(len(cells)):
                         chosen = np.flatnonzero(opened[:, c]).tolist()
                         if not chosen:
@@ -374,14 +468,15 @@ class Index:
                             "owner": [at for at, _ in spans],
                             **{name: [w[name] for _, w in spans] for name in ("score", "low", "high")},
                         }
-                        out += [(int(numbers[c]), block, ids[chosen[0]], pack) for block in range(cells[c][1][1])]
-                    if out:
+                        of_pack += [(int(numbers[c]), block, ids[chosen[0]], len(packs)) for block in range(cells[c][1][1])]
+                        packs.append(pack)
+                    if packs:
                         yield pa.RecordBatch.from_arrays(
                             [
-                                pa.array([r[0] for r in out], pa.int32()),
-                                pa.array([r[1] for r in out], pa.int64()),
-                                pa.array([r[2] for r in out], pa.int64()),
-                                pa.array([r[3] for r in out], _QUERIES),
+                                pa.array([r[0] for r in of_pack], pa.int32()),
+                                pa.array([r[1] for r in of_pack], pa.int64()),
+                                pa.array([r[2] for r in of_pack], pa.int64()),
+                                pa.array(packs, _QUERIES).take(pa.array([r[3] for r in of_pack])),
                             ],
                             names=["cell", "block", "first", "queries"],
                         )
@@ -422,9 +517,7 @@ class Index:
                     directions, reach = sphere.queries(rows)
                     owner, labels, classes = (np.array(asked[name], np.int64) for name in ("owner", "label", "class"))
                     low, high = (np.array(asked[name], np.int64) for name in ("low", "high"))
-                    scores, found, held = tree.first(
-                        rows[owner], directions[owner], reach[owner], labels[owner], low, high, not windows, count
-                    )
+                    scores, found, held = tree.first(rows, directions, reach, labels, low, high, not windows, count, owner)
                     at, place = np.nonzero(held)
                     of_window = pa.array(asked["score"], pa.int64()).take(pa.array(at))
                     parts.append((pa.array(classes[owner][at]), of_window, pa.array(scores[at, place]), pa.array(found[at, place])))
@@ -443,14 +536,14 @@ class Index:
         return found.withColumn("place", F.row_number().over(first)).where(F.col("place") <= count)
 
 
-def _floor(rows: np.ndarray, query: np.ndarray, count: int) -> int:
-    """The ``count``-th greatest score, or the least integer if there are fewer."""
-    if len(rows) < count:
-        return -(1 << 63)
-    scores = products(rows, query[None, :], most(rows) * most(query) * max(len(query), 1) < EXACT)[0]
-    return int(np.partition(scores, len(scores) - count)[len(scores) - count])
+def _raised(scores: np.ndarray, low: int, high: int, count: int) -> int:
+    """The ``count``-th greatest of ascending scores from ``low`` to ``high``, or ``low`` if there are fewer."""
+    end = int(np.searchsorted(scores, high, "right"))
+    return max(low, int(scores[end - count])) if end >= count else low
 
 
+#: Any score.
+_WHOLE = {"score": None, "low": -(1 << 63), "high": (1 << 63) - 1}
 _NAMES = ["vec_id", "label", "vector", "norm"]
 BLOCK = "cell int, block long, ids binary, labels binary, vectors array<binary>, nodes binary, centres array<binary>"
 _LONGS = ("class", "label", "owner", "score", "low", "high")

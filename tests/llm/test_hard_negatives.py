@@ -152,6 +152,60 @@ def test_descent_skips_what_lies_outside():
     assert top[0].tolist() == sorted(scores, reverse=True)[:6] == [scores[k] for k in ids[0]]
 
 
+def block_of(whole, ids, labels):
+    sphere = H.Sphere(float(np.linalg.norm(whole.astype(float), axis=1).max()), whole.shape[1])
+    order, nodes = H.cover_tree(sphere.candidates(whole))
+    vectors = [row.astype("<i8").tobytes() for row in whole]
+    block = H.Block(ids[order], labels[order], [vectors[k] for k in order], nodes, [vectors[int(k)] for k in nodes[:, 0]], sphere)
+    return block, sphere
+
+
+def test_products_of_a_block_grow_with_its_leaves(monkeypatch):
+    """Rows without clusters: queries meet leaves together, and a query meets a row once for all its windows."""
+    rng = np.random.default_rng(9)
+    whole = rng.normal(size=(2000, 64))
+    whole = np.floor(256 * whole / np.linalg.norm(whole, axis=1)[:, None])
+    block, sphere = block_of(whole, np.arange(2000), rng.integers(0, 10, 2000))
+    calls = []
+    real = H.products
+    monkeypatch.setattr(H, "products", lambda rows, queries, *more: calls.append(len(rows) * len(queries)) or real(rows, queries, *more))
+    directions, reach = sphere.queries(whole[:300])
+    asked = whole[:300], directions, reach, rng.integers(0, 10, 300)
+    block.first(*asked, np.full(300, 10000), np.full(300, 30000), False, 3)
+    assert len(calls) <= 300
+    calls.clear()
+    owner = np.repeat(np.arange(300), 5)
+    high = 30000 - 1000 * (np.arange(1500) % 5)
+    block.first(*asked, high - 20000, high, False, 3, owner)
+    assert len(calls) <= 300 and sum(calls) <= 300 * 2000
+
+
+@pytest.mark.parametrize("scale", [1, 1 << 14, 1 << 24])
+@pytest.mark.parametrize("same", [True, False])
+def test_windows_of_a_block(monkeypatch, scale, same):
+    """The float types and whole numbers beyond them, leaves beside each other, and several windows of a query."""
+    for name, value in (("LEAF_ROWS", 12), ("CHILD_ROWS", 2), ("PRODUCTS", 64)):
+        monkeypatch.setattr(H, name, value)
+    rng = np.random.default_rng(3)
+    near = np.repeat(rng.integers(-40, 41, (9, 6)), 20, axis=0) + rng.integers(-3, 4, (180, 6))
+    whole, ids, labels = near.astype(object) * scale + 1, rng.permutation(180), rng.integers(0, 3, 180)
+    block, sphere = block_of(whole, ids, labels)
+    kinds = {1: np.float32, 1 << 14: np.float64, 1 << 24: None}
+    assert H.exact_type(block.longest, block.longest) is kinds[scale] and (block.children > 0).sum() > 3
+    queries, own = H.matrix([row.astype("<i8").tobytes() for row in whole[:40]]), labels[:40]
+    owner = np.sort(np.concatenate([np.arange(40), rng.integers(0, 40, 60)]))
+    scores = [[int(np.dot(a, b)) for b in whole] for a in whole[:40]]
+    high = np.array([scores[q][rng.integers(0, 180)] for q in owner])
+    low = np.where(rng.random(100) < 0.2, -(1 << 63), high - 2000 * scale * scale)
+    directions, reach = sphere.queries(queries)
+    top, found, held = block.first(queries, directions, reach, own, low, high, same, 4, owner)
+    for w, q in enumerate(owner):
+        fits = [
+            (-score, key) for score, key, label in zip(scores[q], ids.tolist(), labels) if (label == own[q]) == same and low[w] <= score <= high[w]
+        ]
+        assert [(-int(s), int(k)) for s, k, there in zip(top[w], found[w], held[w]) if there] == sorted(fits)[:4]
+
+
 def test_scores_beyond_doubles():
     rows = H.matrix([np.array([1 << 40, 3], "<i8").tobytes(), np.array([-(1 << 62), 1], "<i8").tobytes()])
     assert rows.dtype == object
