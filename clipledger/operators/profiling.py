@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import lru_cache
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clipledger.functions import scalars as S
@@ -64,13 +66,18 @@ def _expanded(path: Column, value: Column, max_keys: int | None) -> Column:
 LEVELS = 6
 
 
+@lru_cache(maxsize=8)
+def _grown(spark: SparkSession, max_keys: int | None) -> Column:
+    """What any node becomes, one level further. Made once a session: PySpark numbers the variables of lambdas throughout a process,
+    and plans would differ by these names with every level and call."""
+    node = F.col("node")
+    return F.when(node["open"], _expanded(node["path"], node["value"], max_keys)).otherwise(F.array(node))
+
+
 def _followed(nodes: DataFrame, levels: int, max_keys: int | None) -> DataFrame:
     """Nodes some levels further; each level is one explode, and nothing is shuffled."""
-    node = F.col("node")
+    grown = _grown(nodes.sparkSession, max_keys)
     for _ in range(levels):
-        grown = F.when(
-            node["open"], _expanded(node["path"], node["value"], max_keys)
-        ).otherwise(F.array(node))
         nodes = nodes.select(F.explode(grown).alias("node"))
     return nodes
 
